@@ -127,3 +127,43 @@ def flat(
 def branch(base: Base) -> str:
     """The branch a record was fetched for; missing now and then."""
     return f"case when {base.key} % 31 = 0 then null else 'V' || cast({base.key} % 7 as string) end"
+
+
+# Children are made from the parent's row and the child's number ``i``. Their fields are SQL
+# for both engines; a dictionary in place of a text is a struct.
+Fields = Mapping[str, "str | Fields"]
+
+
+@dataclass(frozen=True)
+class Children:
+    """Up to ``most`` children per row, ``count`` of them; no array at all where ``missing``."""
+
+    fields: Fields
+    count: str
+    most: int = 3
+    missing: str = "false"
+
+    def array(self) -> str:
+        """The array, in Spark SQL."""
+        items = f"slice(sequence(1, {self.most}), 1, cast({self.count} as int))"
+        return f"case when not ({self.missing}) then transform({items}, i -> {struct(self.fields)}) end"
+
+    def rows(self, base: str, keep: str) -> str:
+        """The children as rows, in the oracle's SQL; nested fields get dotted names."""
+        columns = ", ".join(f'{value} AS "{name}"' for name, value in dotted(self.fields).items())
+        return f"""SELECT {keep}, {columns} FROM {base}, unnest(range(1, {self.most + 1})) AS t(i)
+                   WHERE i <= {self.count} AND NOT ({self.missing})"""
+
+
+def struct(fields: Fields) -> str:
+    """A struct in Spark SQL."""
+    parts = [f"'{name}', {value if isinstance(value, str) else struct(value)}" for name, value in fields.items()]
+    return f"named_struct({', '.join(parts)})"
+
+
+def dotted(fields: Fields, prefix: str = "") -> dict[str, str]:
+    flat_fields: dict[str, str] = {}
+    for name, value in fields.items():
+        path = f"{prefix}{name}"
+        flat_fields |= {path: value} if isinstance(value, str) else dotted(value, f"{path}.")
+    return flat_fields
