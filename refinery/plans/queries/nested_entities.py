@@ -43,13 +43,6 @@ def from_table(name: str, *columns: str) -> Run:
     return lambda spark, folder: table(spark, folder, name).selectExpr(*columns)
 
 
-def with_last(children: Children, last: str) -> str:
-    """The children's array with one more field in each struct, given as text."""
-    text = children.array()
-    cut = text.rindex(")) end")
-    return f"{text[:cut]}{last}) end"
-
-
 # --- hubspot --------------------------------------------------------------------------------
 
 VISIT = "cast(date '2019-06-01' + cast(o_orderkey % 900 as int) as string)"
@@ -341,12 +334,15 @@ SOLD = Children(
     count="o_orderkey % 4",
     missing="o_orderkey % 11 = 0",
 )
-# Arrays of text inside the child: one product group for odd children, two for even ones.
-SOLD_LISTS = """, 'productGroups', case when i % 2 = 0 then array('food', 'cold') else array('drinks') end,
-    'turnoverGroups', case when i = 3 then array() else array('T' || cast(o_orderkey % 5 as string), 'T9') end)"""
+# Arrays of text inside the child, for Spark only: one product group for odd children, two for
+# even ones.
+SOLD_LISTS = {
+    "productGroups": "case when i % 2 = 0 then array('food', 'cold') else array('drinks') end",
+    "turnoverGroups": "case when i = 3 then array() else array('T' || cast(o_orderkey % 5 as string), 'T9') end",
+}
 add(
     "eijsink.sales_items",
-    from_table("orders", *ORDER_KEYS, f"{with_last(SOLD, SOLD_LISTS)} as salesItems"),
+    from_table("orders", *ORDER_KEYS, f"{SOLD.array(SOLD_LISTS)} as salesItems"),
     f"""SELECT VestigingId || '_' || id AS Id, VestigingId || '_' || order_id AS FK_Orders_Id,
                VestigingId || '_' || CASE WHEN n < 3 THEN 'T' || CAST(k % 5 AS VARCHAR) END AS FK_Omzetgroepen_Id,
                salesItemType AS SalesType, "course.name" AS ItemType, "user.name" AS Gebruiker,
@@ -610,15 +606,15 @@ RULES = Children(
 )
 # Ages: bucket 0 always, 2 twice in some rules, 13 at times without a count, 21 in every other
 # rule, 65 unknown to the pivot; some rules have no ages.
-AGES = """, 'age_categories', case when (o_orderkey + i) % 6 > 0 then filter(array(
+AGES = {
+    "age_categories": """case when (o_orderkey + i) % 6 > 0 then filter(array(
       named_struct('from', 0, 'till', 2, 'persons', i),
       named_struct('from', 2, 'till', 13, 'persons', cast(o_orderkey % 3 as int)),
       case when o_orderkey % 8 = 1 then named_struct('from', 2, 'till', 13, 'persons', cast(o_orderkey % 5 as int)) end,
       named_struct('from', 13, 'till', 21, 'persons', case when i = 2 then null else 4 end),
       case when o_orderkey % 2 = 0 then named_struct('from', 21, 'till', 99, 'persons', i + 7) end,
-      named_struct('from', 65, 'till', 99, 'persons', 1)), age -> age is not null or o_orderkey % 4 = 1) end)"""
-
-
+      named_struct('from', 65, 'till', 99, 'persons', 1)), age -> age is not null or o_orderkey % 4 = 1) end"""
+}
 BOOKING_KEYS = f"{BOOKING_ID} as id"
 add(
     "tomm.guest",
@@ -629,7 +625,7 @@ add(
 )
 add(
     "tomm.booking_rule",
-    from_table("orders", BOOKING_KEYS, f"{with_last(RULES, AGES)} as booking_rules"),
+    from_table("orders", BOOKING_KEYS, f"{RULES.array(AGES)} as booking_rules"),
     f"""SELECT id AS Id, accommodation_id AS AccommodatieId, accommodation AS Accommodatie,
                accommodation_group_id AS AccommodatiegroepId, accommodation_group AS AccommodatieGroep,
                location AS Locatie, arrangement AS Arrangement, substr(arrival_time, 1, 8) AS Aankomsttijd,

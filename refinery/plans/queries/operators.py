@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from refinery import functions as fn
 from refinery import operators as op
 from refinery import sources
+from refinery.plans.queries.payloads import Children, numbered
 from refinery.plans.queries.query import Catalog, table
 from refinery.session import work_folder
 
@@ -24,21 +25,23 @@ query = CATALOG.add
 AS_OF = "1998-06-01"
 
 
+DELIVERED = Children(
+    {
+        "nr": "case when i = 2 and l_partkey % 5 = 0 then null else i end",
+        "weight": "l_quantity + i",
+        "price": "l_extendedprice + i",
+        "label": "l_returnflag || cast(i as string)",
+        "kind": "(l_partkey + i) % 3",
+    },
+    count="l_linenumber % 4",
+    missing="l_quantity < 3",
+)
+
+
 def deliveries(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with 0 to 3 packages; small quantities have no package list at all."""
     return table(spark, folder, "lineitem").selectExpr(
-        "l_orderkey",
-        "l_partkey",
-        "l_linenumber",
-        "l_returnflag",
-        """case when l_quantity >= 3 then
-             transform(slice(sequence(1, 3), 1, l_linenumber % 4), i -> named_struct(
-               'nr', case when i = 2 and l_partkey % 5 = 0 then null else i end,
-               'weight', l_quantity + i,
-               'price', l_extendedprice + i,
-               'label', l_returnflag || cast(i as string),
-               'kind', (l_partkey + i) % 3))
-           end as packages""",
+        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", f"{DELIVERED.array()} as packages"
     )
 
 
@@ -52,17 +55,17 @@ PACKAGES = """
     WHERE l_quantity >= 3 AND i <= l_linenumber % 4"""
 
 
+PARCELS = numbered(
+    "named_struct('parcel', i * 10 + j, 'value', o_totalprice + j)", "j", 2, "(o_orderkey + i) % 3"
+)
+STOPS = numbered(
+    f"named_struct('stop', i, 'parcels', case when o_orderkey % 7 > 0 then {PARCELS} end)", "i", 3, "o_orderkey % 4"
+)
+
+
 def visits(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with 0 to 3 stops, each with 0 to 2 parcels."""
-    return table(spark, folder, "orders").selectExpr(
-        "o_orderkey",
-        "o_custkey",
-        """transform(slice(sequence(1, 3), 1, cast(o_orderkey % 4 as int)), i -> named_struct(
-             'stop', i,
-             'parcels', case when o_orderkey % 7 > 0 then
-               transform(slice(sequence(1, 2), 1, cast((o_orderkey + i) % 3 as int)), j -> named_struct(
-                 'parcel', i * 10 + j, 'value', o_totalprice + j)) end)) as stops""",
-    )
+    return table(spark, folder, "orders").selectExpr("o_orderkey", "o_custkey", f"{STOPS} as stops")
 
 
 # --- sources -------------------------------------------------------------------------------

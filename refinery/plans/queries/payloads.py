@@ -143,10 +143,10 @@ class Children:
     most: int = 3
     missing: str = "false"
 
-    def array(self) -> str:
-        """The array, in Spark SQL."""
-        items = f"slice(sequence(1, {self.most}), 1, cast({self.count} as int))"
-        return f"case when not ({self.missing}) then transform({items}, i -> {struct(self.fields)}) end"
+    def array(self, more: Fields | None = None) -> str:
+        """The array, in Spark SQL; ``more`` adds fields that only Spark sees."""
+        items = numbered(struct({**self.fields, **(more or {})}), "i", self.most, self.count)
+        return f"case when not ({self.missing}) then {items} end"
 
     def rows(self, base: str, keep: str) -> str:
         """The children as rows, in the oracle's SQL; nested fields get dotted names."""
@@ -167,3 +167,13 @@ def dotted(fields: Fields, prefix: str = "") -> dict[str, str]:
         path = f"{prefix}{name}"
         flat_fields |= {path: value} if isinstance(value, str) else dotted(value, f"{path}.")
     return flat_fields
+
+
+def numbered(item: str, variable: str, most: int, count: str) -> str:
+    """The first ``count`` of the items for 1 to ``most``, in Spark SQL.
+
+    The items are spelled out rather than made by a lambda, since Spark compiles plain
+    expressions and interprets lambdas.
+    """
+    items = [re.sub(rf"\b{variable}\b", str(number), item) for number in range(1, most + 1)]
+    return f"slice(array({', '.join(items)}), 1, cast({count} as int))"
