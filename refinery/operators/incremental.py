@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions._columns import ColumnLike
 from refinery.operators.latest import latest_per_key
+from refinery.operators.relate import distinct_keys
 
 
 def incremental(df: DataFrame, column: str, low: Any, lookback: Any = None) -> DataFrame:
@@ -41,10 +42,10 @@ def upsert(
     """The target with the newest update of each key put in the place of its old rows.
 
     A key with a NULL in it matches nothing: such rows stay, on both sides. Of the updates
-    only distinct keys take part in the join.
+    only distinct keys take part in the join (see ``distinct_keys`` for hot ones).
     """
     newest = latest_per_key(updates, keys, order_by, tie_break=tie_break, null_keys="keep")
-    changed = updates.select(*keys).distinct()
+    changed = distinct_keys(updates, {key: key for key in keys})
     return target.join(changed, list(keys), "left_anti").select(*target.columns).unionByName(newest)
 
 
@@ -67,14 +68,11 @@ def scd2(
     slice. One summary row per key and slice then tells each slice how the one before it
     ended and when the next change comes, so only those summaries meet in one group.
     """
-    order = [F.col(ts), *[F.col(column) for column in tie_break]]
+    # All that later steps need is in these three columns, so that both of them read one shuffle.
+    key = F.struct(*keys)
     rows = changes.select(
-        *keys,
-        *[column for column in tracked],
-        F.col(ts).alias("valid_from"),
-        F.struct(*order).alias("_order"),
-        F.struct(*keys).alias("_key"),
-        F.struct(*keys, F.date_trunc(time_slice, ts).alias("_slice")).alias("_cell"),
+        F.struct(key.alias("key"), F.date_trunc(time_slice, ts).alias("slice")).alias("_cell"),
+        F.struct(ts, *tie_break).alias("_order"),
         F.struct(*tracked).alias("_state"),
     )
 
@@ -91,14 +89,14 @@ def scd2(
     across = Window.partitionBy("_key").orderBy("_slice")
     backwards = Window.partitionBy("_key").orderBy(F.col("_slice").desc())
     slices = (
-        starts.groupBy("_cell", "_key")
+        starts.groupBy("_cell")
         .agg(
             F.min_by("_state", "_order").alias("_opens"),
             F.max_by("_state", "_order").alias("_closes"),
             F.min("_order").alias("_first"),
             F.min(F.when(F.col("_row") == 2, F.col("_order"))).alias("_second"),
         )
-        .withColumn("_slice", F.col("_cell._slice"))
+        .withColumns({"_key": F.col("_cell.key"), "_slice": F.col("_cell.slice")})
         .withColumn("_carried", F.col("_opens").eqNullSafe(F.lag("_closes").over(across)))
         .withColumn("_change", F.when(F.col("_carried"), F.col("_second")).otherwise(F.col("_first")))
         .withColumn(
@@ -113,9 +111,9 @@ def scd2(
         starts.join(slices, "_cell")
         .filter(~(F.col("_carried") & (F.col("_row") == 1)))
         .select(
-            *keys,
-            *tracked,
-            "valid_from",
+            *[F.col("_cell.key").getField(name).alias(name) for name in keys],
+            *[F.col("_state").getField(name).alias(name) for name in tracked],
+            F.col("_order").getField(ts).alias("valid_from"),
             end.getField(ts).alias("valid_to"),
             end.isNull().alias("is_current"),
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,18 @@ from refinery.functions._columns import ColumnLike, as_column
 from refinery.functions.values import flag
 
 
+def distinct_keys(df: DataFrame, keys: Mapping[str, ColumnLike]) -> DataFrame:
+    """The distinct keys of ``df``, to be joined on; output name -> column.
+
+    A join right above a distinct would take over its partitioning. But adaptive execution
+    splits a hot key only where both sides of a join come straight from a shuffle, so the
+    distinct works on the keys boxed in one struct, and the join shuffles them once more: a
+    small price, as only distinct keys travel.
+    """
+    boxed = df.select(F.struct(*[as_column(column).alias(name) for name, column in keys.items()]).alias("_keys"))
+    return boxed.distinct().select(*[F.col("_keys").getField(name).alias(name) for name in keys])
+
+
 def has_children(
     df: DataFrame, key: ColumnLike, array: ColumnLike, name: str, *, unique_key: bool = False
 ) -> DataFrame:
@@ -17,12 +31,12 @@ def has_children(
     A NULL key matches nothing, so its flag is false. With ``unique_key`` the caller vouches
     that no key occurs twice, and the flag is read from the row itself without a shuffle.
     Otherwise the keys that have children are made distinct and joined; only keys travel on
-    that side, and adaptive execution splits a hot key on the other.
+    that side, and adaptive execution splits a hot key, or the NULL key, on the other.
     """
     own = flag(as_column(key).isNotNull() & (F.size(as_column(array)) > 0))
     if unique_key:
         return df.withColumn(name, own)
-    parents = df.filter(own).select(as_column(key).alias("_parent")).distinct()
+    parents = distinct_keys(df.filter(own), {"_parent": key})
     joined = df.join(parents, as_column(key) == F.col("_parent"), "left")
     return joined.withColumn(name, F.col("_parent").isNotNull()).drop("_parent")
 
