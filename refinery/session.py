@@ -15,7 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Beyond 8000 bytes of bytecode the JVM interprets a method instead of compiling it, which
     # makes wide projections several times slower; Spark then generates smaller methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
