@@ -40,14 +40,15 @@ def rekey(
     used = {column.lower() for column in [name, *lead]} | {column.lower() for column in rest}
 
     def kept(column: str) -> Column:
+        source = F.col(f"`{column}`")
         if column.lower() != name.lower():
-            return df[column]
+            return source
         renamed = f"{column}_source"
         if renamed.lower() in used:
             raise ValueError(f"{column} clashes with the key {name}, and {renamed} is taken; drop one")
-        return df[column].alias(renamed)
+        return source.alias(renamed)
 
-    return df.select(key.alias(name), *[df[column].alias(column) for column in lead], *map(kept, rest))
+    return df.select(key.alias(name), *[F.col(f"`{column}`") for column in lead], *map(kept, rest))
 
 
 def require(df: DataFrame, *columns: ColumnLike) -> DataFrame:

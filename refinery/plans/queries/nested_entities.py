@@ -12,7 +12,6 @@ from refinery.plans.entities.dip import RANK_FIELDS
 from refinery.plans.queries.payloads import (
     CUSTOMERS,
     ORDERS,
-    PARTS,
     Children,
     FlatPayload,
     branch,
@@ -310,6 +309,7 @@ add(
 
 DAY = "cast(cast(o_orderdate as date) as string)"
 ORDER_KEYS = (f"{branch(ORDERS)} as VestigingId", "'O' || cast(o_orderkey as string) as id")
+ORDER_ROW = f"{branch(ORDERS)} AS VestigingId, 'O' || o_orderkey AS order_id"
 AMOUNT = {"inclVAT": "o_totalprice + i", "exclVAT": "o_totalprice - i", "VAT": "cast(2 * i as double)"}
 SOLD = Children(
     {
@@ -355,7 +355,7 @@ add(
                "grossAmount.inclVAT" AS BrutoBedragInclBTW, "grossAmount.exclVAT" AS BrutoBedragExclBTW,
                "grossAmount.VAT" AS BrutoBedragBTW, CASE WHEN n % 2 = 0 THEN 'food' ELSE 'drinks' END AS ProductGroep1,
                CASE WHEN n % 2 = 0 THEN 'cold' END AS ProductGroep2
-        FROM ({SOLD.rows("orders", f"{branch(ORDERS)} AS VestigingId, 'O' || o_orderkey AS order_id, o_orderkey AS k, i AS n")})""",
+        FROM ({SOLD.rows("orders", f"{ORDER_ROW}, o_orderkey AS k, i AS n")})""",
 )
 
 PAID = Children(
@@ -387,13 +387,13 @@ add(
                "payment.amount" AS BetalingBedrag, "payment.method.id" AS BetalingsmethodeId,
                "payment.method.name" AS BetalingsmethodeNaam,
                "payment.methodType.name" AS BetalingsmethodeTypeNaam
-        FROM ({PAID.rows("orders", f"{branch(ORDERS)} AS VestigingId, 'O' || o_orderkey AS order_id")})""",
+        FROM ({PAID.rows("orders", ORDER_ROW)})""",
 )
 
 # Sales points: a chain of numbers names each point; two customers deliver the same tree. A
 # second point of level 2 has no id in some trees, and what hangs below it goes too.
 POINT_COUNTS = ("k % 3", "(k + a) % 3", "(k + b) % 3", "k % 2 + 1")
-POINT_PATHS = ("'P' || cast(k as string)", "cast(a as string)", "cast(b as string)", "cast(c as string)", "cast(d as string)")
+POINT_PATHS = ("'P' || cast(k as string)", *[f"cast({name} as string)" for name in "abcd"])
 
 
 def point_array(level: int) -> str:
@@ -450,7 +450,11 @@ RECEIPTS = flat(
 )
 add(
     "renh.day_turnover",
-    wrapped(RECEIPTS, "VestigingId", f"struct({', '.join(n for n in RECEIPTS.fields if n != 'VestigingId')}) as Transaction"),
+    wrapped(
+        RECEIPTS,
+        "VestigingId",
+        f"struct({', '.join(name for name in RECEIPTS.fields if name != 'VestigingId')}) as Transaction",
+    ),
     RECEIPTS.oracle(
         """SELECT VestigingId || '_' || CAST(branch AS VARCHAR) || '_' || CAST(register AS VARCHAR) || '_' || billno
                     AS Id,
@@ -579,7 +583,8 @@ add(
 
 GUESTS = Children(
     {
-        "id": "case when i = 2 and o_orderkey % 5 = 0 then null else 'G' || cast(o_orderkey as string) || '-' || cast(i as string) end",
+        "id": """case when i = 2 and o_orderkey % 5 = 0 then null
+                      else 'G' || cast(o_orderkey as string) || '-' || cast(i as string) end""",
         "birthday": f"case when i = 3 then '31 june' else {DAY} end",
         "gender": "case when i % 2 = 0 then 'F' else 'M' end",
     },
@@ -588,7 +593,8 @@ GUESTS = Children(
 )
 RULES = Children(
     {
-        "id": "case when i = 1 and o_orderkey % 17 = 0 then null else 'R' || cast(o_orderkey as string) || '-' || cast(i as string) end",
+        "id": """case when i = 1 and o_orderkey % 17 = 0 then null
+                      else 'R' || cast(o_orderkey as string) || '-' || cast(i as string) end""",
         "accommodation_id": "cast(o_custkey as string)",
         "accommodation": "'cottage ' || cast(o_custkey % 40 as string)",
         "accommodation_group_id": "cast(o_custkey % 8 as string)",

@@ -143,10 +143,11 @@ def test_latest_is_a_maximum(spark, seed):
 @pytest.mark.parametrize("seed", SEEDS)
 def test_rollup_is_a_dictionary(spark, seed):
     draw = random.Random(seed)
-    data = [
-        (n, maybe(draw, [(maybe(draw, draw.choice("pq")), draw.randrange(100) / 100) for _ in range(draw.randrange(5))]))
-        for n in range(100)
-    ]
+
+    def line(_):
+        return maybe(draw, draw.choice("pq")), draw.randrange(100) / 100
+
+    data = [(n, maybe(draw, [line(_) for _ in range(draw.randrange(5))])) for n in range(100)]
     df = spark.createDataFrame(data, "id int, lines array<struct<kind: string, amount: double>>")
     cents = {}
     for id_, lines in data:

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from refinery import functions as fn
 from refinery import operators as op
@@ -123,7 +124,8 @@ def test_tree_with_leaves_and_orphans(spark):
         None,
         (11, "childless", [], []),
     ]
-    df = spark.createDataFrame([(1, "root", groups, [(2, "leaf"), None, (None, "x")]), (None, "bare", None, None)], TREE)
+    leaves = [(2, "leaf"), None, (None, "x")]
+    df = spark.createDataFrame([(1, "root", groups, leaves), (None, "bare", None, None)], TREE)
     shared = {(1, "root", 0, None), (None, "bare", 0, None), (10, "g", 1, 1), (11, "childless", 1, 1)}
     full = op.flatten_tree(df, node, groups="groups", leaves="leaves", depth=2, orphans=True)
     assert set(rows(full)) == shared | {
@@ -347,8 +349,6 @@ def test_conform_fits_nested_records(spark):
         [("1", ("x", 2), [("n", 1.5), None], 9), ("bad", None, None, 8)],
         "id string, s struct<a: string, b: int>, l array<struct<p: string, q: double>>, extra int",
     )
-    from pyspark.sql.types import StructType
-
     wanted = StructType.fromDDL(
         "ID int, s struct<b: string, c: date>, l array<struct<q: int, r: string>>, missing array<string>"
     )
@@ -361,8 +361,6 @@ def test_conform_fits_nested_records(spark):
 
 
 def test_conform_keeps_too_deep_records_as_text(spark):
-    from pyspark.sql.types import StructType
-
     df = spark.createDataFrame([([(1,)],)], "deep array<struct<a: int>>")
     assert sources.conform(df, StructType.fromDDL("deep string")).first().deep == '[{"a":1}]'
 
