@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Get = Callable[[str], Column]
-NodeColumns = Callable[[Get, int, Get | None], Mapping[str, Column]]
+from refinery.functions._columns import ColumnLike
+from refinery.operators.project import project
+
+_SEEN = ("node", "parent", "level")
 
 
 def flatten_tree(
     df: DataFrame,
-    node: NodeColumns,
+    columns: Mapping[str, ColumnLike],
     *,
+    fields: Sequence[str],
     groups: str,
     depth: int,
     leaves: str | None = None,
@@ -27,40 +30,77 @@ def flatten_tree(
     ``depth`` levels below the root; ``leaves`` is a second field of children, found in the
     root and in every group, that do not nest further.
 
-    ``node(get, level, parent)`` gives a node's output columns: ``get(field)`` is a field of
-    the node, ``level`` is 0 for the root, and ``parent(field)`` a field of the node above
-    (None at the root). The root row's own columns are in reach as ``F.col``.
+    ``columns`` is the projection. It sees the root row's own columns, ``node.<field>`` and
+    ``parent.<field>`` for the ``fields`` that every node has (those of ``parent`` are NULL at
+    the root), and ``level``, which is 0 for the root.
 
     A child without id gives no row. Its descendants are left out too, unless ``orphans``.
 
-    The tree is taken apart inside the row by one expression and one generator, so the source
-    is read once however deep the tree is; a union of levels would read it once per level.
-    The one shuffle is that of the final distinct, which combines before it ships rows.
+    The source is read once: level by level, every row so far is repeated for its children
+    and once for itself. These are plain explodes, which Spark compiles, and the rows stay in
+    their task. The one shuffle is that of the final distinct, which combines beforehand.
     """
+    clash = {column.lower() for column in df.columns} & set(_SEEN)
+    if clash:
+        raise ValueError(f"{sorted(clash)} are columns of the root already; rename them")
+    carried = list(dict.fromkeys([id_field, *fields]))
+    tree = df.select(
+        "*",
+        *[F.col(field).alias(f"_node_{field}") for field in carried],
+        *[F.lit(None).cast(df.schema[field].dataType).alias(f"_parent_{field}") for field in carried],
+        F.lit(0).alias("_level"),
+        F.col(groups).alias("_groups"),
+        *([F.col(leaves).alias("_leaves")] if leaves else []),
+    )
+    for level in range(depth + 1):
+        if leaves:
+            tree = _descend(tree, "_leaves", carried, id_field, orphans=False, deeper={})
+        if level < depth:
+            deeper = {"_groups": groups if level + 1 < depth else None, "_leaves": leaves}
+            tree = _descend(tree, "_groups", carried, id_field, orphans, deeper)
 
-    def emit(get: Get, level: int, parent: Get | None) -> Column:
-        columns = dict(node(get, level, parent))
-        keep = F.lit(True) if parent is None else get(id_field).isNotNull()
-        return F.struct(*[column.alias(name) for name, column in columns.items()], keep.alias("_keep"))
+    def seen(kind: str) -> Column:
+        return F.struct(*[F.col(f"_{kind}_{field}").alias(field) for field in carried]).alias(kind)
 
-    def children(get: Get, field: str) -> Column:
-        known = F.coalesce(get(field), F.array())
-        return known if orphans else F.filter(known, lambda item: item[id_field].isNotNull())
+    nodes = tree.filter((F.col("_level") == 0) | F.col(f"_node_{id_field}").isNotNull())
+    named = nodes.select(*df.columns, seen("node"), seen("parent"), F.col("_level").alias("level"))
+    return project(named, columns).distinct()
 
-    def below(get: Get, level: int) -> list[Column]:
-        parts = []
-        if leaves:
-            parts.append(
-                F.transform(children(get, leaves), lambda item: emit(lambda f: item[f], level + 1, get))
-            )
-        if level < depth:
-            parts.append(F.flatten(F.transform(children(get, groups), lambda item: subtree(item, level + 1, get))))
-        return parts
 
-    def subtree(item: Column, level: int, parent: Get) -> Column:
-        get: Get = lambda field: item[field]
-        return F.concat(F.array(emit(get, level, parent)), *below(get, level))
+def _descend(
+    tree: DataFrame,
+    array: str,
+    carried: Sequence[str],
+    id_field: str,
+    orphans: bool,
+    deeper: Mapping[str, str | None],
+) -> DataFrame:
+    """Every row once for itself, and once for each child in ``array``.
+
+    ``deeper`` says where a child keeps the arrays still to come. The row itself is done with
+    ``array``; after a step with deeper arrays it is done altogether.
+    """
+    item = tree.schema[array].dataType.elementType
+    itself = F.array(F.lit(None).cast(item))
+    spread = tree.select("*", F.posexplode(F.concat(itself, F.coalesce(array, F.array()))).alias("_at", "_child"))
+    is_child = F.col("_at") > 0
+    known = F.col("_child").isNotNull() if orphans else F.col(f"_child.{id_field}").isNotNull()
+
+    def either(child: Column, same: Column) -> Column:
+        return F.when(is_child, child).otherwise(same)
 
-    root: Get = lambda field: F.col(field)
-    nodes = F.concat(F.array(emit(root, 0, None)), *below(root, 0))
-    return df.select(F.inline(nodes)).filter("_keep").drop("_keep").distinct()
+    changed = {f"_node_{field}": either(F.col(f"_child.{field}"), F.col(f"_node_{field}")) for field in carried}
+    changed |= {f"_parent_{field}": either(F.col(f"_node_{field}"), F.col(f"_parent_{field}")) for field in carried}
+    changed["_level"] = F.col("_level") + F.when(is_child, 1).otherwise(0)
+    for name in ("_groups", "_leaves"):
+        if name not in tree.columns:
+            continue
+        if deeper:
+            field = deeper[name]
+            changed[name] = F.col(f"_child.{field}") if field else F.lit(None).cast("array<void>")
+        else:
+            changed[name] = F.when(~is_child, F.col(name)) if name != array else F.lit(None).cast("array<void>")
+    kept = [column for column in tree.columns if column not in changed]
+    return spread.filter(~is_child | known).select(
+        *[F.col(f"`{column}`") for column in kept], *[value.alias(name) for name, value in changed.items()]
+    )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from refinery.functions import const, full_name, parse_date, parse_timestamp, written_date
+from refinery.functions import full_name, parse_date, parse_timestamp, written_date
 from refinery.operators import distinct_rows, explode_children, flatten_tree, project
 from refinery.plans.entities.entity import Entity
 
@@ -145,13 +146,19 @@ def department_tree(df: DataFrame) -> DataFrame:
 
     Ids are not qualified by kind: an office and a department may carry the same one.
     """
-
-    def node(get, level, parent) -> dict[str, Column]:
-        above = const(None, "string") if parent is None else parent("id").cast("string")
-        attributes = {name: get(field) for name, field in NODE_COLUMNS.items()}
-        return {"Id": get("id").cast("string"), **attributes, "ParentId": above}
-
-    return flatten_tree(df, node, groups="departmentGroups", leaves="departments", depth=2, orphans=True)
+    return flatten_tree(
+        df,
+        {
+            "Id": F.col("node.id").cast("string"),
+            **{name: f"node.{field}" for name, field in NODE_COLUMNS.items()},
+            "ParentId": F.col("parent.id").cast("string"),
+        },
+        fields=list(NODE_COLUMNS.values()),
+        groups="departmentGroups",
+        leaves="departments",
+        depth=2,
+        orphans=True,
+    )
 
 
 def registered_hours(df: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ Records carry ``VestigingId``, the branch they were fetched for; sales points al
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.functions import const, foreign_key, nth, tenant_key, utc_to_local, written_date
+from refinery.functions import foreign_key, nth, tenant_key, utc_to_local, written_date
 from refinery.operators import distinct_rows, explode_children, flatten_tree, project, with_parent
 from refinery.plans.entities.entity import Entity
 
@@ -138,19 +138,21 @@ def payment_items(df: DataFrame, *, zone: str = ZONE) -> DataFrame:
 
 def salespoints(df: DataFrame) -> DataFrame:
     """Sales points of all levels as one list with parents; the level is the type."""
-
-    def node(get, level, parent) -> dict[str, Column]:
-        return {
-            "Id": tenant_key(BRANCH, get("id")),
-            "Type": const(f"Level{level + 1}"),
-            BRANCH: F.col(BRANCH),
-            "LocatieId": F.col("_store_id"),
-            "VerkooppuntId": get("id"),
-            "Naam": get("name"),
-            "ParentVerkooppuntId": const(None, "string") if parent is None else tenant_key(BRANCH, parent("id")),
-        }
-
-    return flatten_tree(df, node, groups="salesPoints", depth=SUB_LEVELS)
+    return flatten_tree(
+        df,
+        {
+            "Id": tenant_key(BRANCH, "node.id"),
+            "Type": F.concat(F.lit("Level"), F.col("level") + 1),
+            BRANCH: BRANCH,
+            "LocatieId": "_store_id",
+            "VerkooppuntId": "node.id",
+            "Naam": "node.name",
+            "ParentVerkooppuntId": tenant_key(BRANCH, "parent.id"),
+        },
+        fields=["name"],
+        groups="salesPoints",
+        depth=SUB_LEVELS,
+    )
 
 
 def stores(df: DataFrame) -> DataFrame:

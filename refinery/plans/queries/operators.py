@@ -577,12 +577,15 @@ TREES = """
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and leaves in one list; what hangs below a group without id keeps its row."""
-
-    def node(get, level, parent):
-        above = fn.const(None, "int") if parent is None else parent("id")
-        return {"id": get("id"), "name": get("name"), "parent_id": above}
-
-    return op.flatten_tree(trees(spark, folder), node, groups="groups", leaves="leaves", depth=2, orphans=True)
+    return op.flatten_tree(
+        trees(spark, folder),
+        {"id": "node.id", "name": "node.name", "parent_id": "parent.id"},
+        fields=["name"],
+        groups="groups",
+        leaves="leaves",
+        depth=2,
+        orphans=True,
+    )
 
 
 @query(
@@ -597,12 +600,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Levels as labels and tenant-qualified ids; below a group without id nothing is kept."""
-
-    def node(get, level, parent):
-        above = fn.const(None, "string") if parent is None else fn.tenant_key(F.lit("T"), parent("id"))
-        return {"id": fn.tenant_key(F.lit("T"), get("id")), "level": fn.const(f"Level{level + 1}"), "parent_id": above}
-
-    return op.flatten_tree(trees(spark, folder), node, groups="groups", depth=2)
+    columns = {
+        "id": fn.tenant_key(F.lit("T"), "node.id"),
+        "level": F.concat(F.lit("Level"), F.col("level") + 1),
+        "parent_id": fn.tenant_key(F.lit("T"), "parent.id"),
+    }
+    return op.flatten_tree(trees(spark, folder), columns, fields=[], groups="groups", depth=2)
 
 
 # --- relations -----------------------------------------------------------------------------

@@ -6,7 +6,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from refinery import functions as fn
 from refinery import operators as op
 from tests.frames import rows
 
@@ -41,9 +40,7 @@ def test_tree_is_a_walk(spark, seed):
         data, f"id int, name string, groups {groups}, leaves array<struct<id: int, name: string>>"
     )
 
-    def node(get, level, parent):
-        above = fn.const(None, "int") if parent is None else parent("id")
-        return {"id": get("id"), "name": get("name"), "level": fn.const(level), "up": above}
+    node = {"id": "node.id", "name": "node.name", "level": "level", "up": "parent.id"}
 
     def walk(item, level, up, orphans):
         id_, name, inner, leaves = item
@@ -60,7 +57,9 @@ def test_tree_is_a_walk(spark, seed):
 
     for orphans in (True, False):
         expected = {found for root in data for found in walk(root, 0, None, orphans)}
-        flat = op.flatten_tree(df, node, groups="groups", leaves="leaves", depth=3, orphans=orphans)
+        flat = op.flatten_tree(
+            df, node, fields=["name"], groups="groups", leaves="leaves", depth=3, orphans=orphans
+        )
         assert rows(flat) == dict.fromkeys(expected, 1)
 
 

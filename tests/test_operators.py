@@ -107,14 +107,7 @@ TREE = """id int, name string,
                         leaves: array<struct<id: int, name: string>>>>,
     leaves array<struct<id: int, name: string>>"""
 
-
-def node(get, level, parent):
-    return {
-        "id": get("id"),
-        "name": get("name"),
-        "level": fn.const(level),
-        "up": fn.const(None, "int") if parent is None else parent("id"),
-    }
+NODE = {"id": "node.id", "name": "node.name", "level": "level", "up": "parent.id"}
 
 
 def test_tree_with_leaves_and_orphans(spark):
@@ -127,7 +120,7 @@ def test_tree_with_leaves_and_orphans(spark):
     leaves = [(2, "leaf"), None, (None, "x")]
     df = spark.createDataFrame([(1, "root", groups, leaves), (None, "bare", None, None)], TREE)
     shared = {(1, "root", 0, None), (None, "bare", 0, None), (10, "g", 1, 1), (11, "childless", 1, 1)}
-    full = op.flatten_tree(df, node, groups="groups", leaves="leaves", depth=2, orphans=True)
+    full = op.flatten_tree(df, NODE, fields=["name"], groups="groups", leaves="leaves", depth=2, orphans=True)
     assert set(rows(full)) == shared | {
         (2, "leaf", 1, 1),
         (100, "gg", 2, 10),
@@ -136,16 +129,18 @@ def test_tree_with_leaves_and_orphans(spark):
         (101, "orphan group", 2, None),
         (1002, "orphan", 2, None),
     }
-    strict = op.flatten_tree(df, node, groups="groups", leaves="leaves", depth=2)
+    strict = op.flatten_tree(df, NODE, fields=["name"], groups="groups", leaves="leaves", depth=2)
     assert set(rows(strict)) == shared | {(2, "leaf", 1, 1), (100, "gg", 2, 10), (1000, "leaf", 3, 100)}
-    flat = op.flatten_tree(df, node, groups="groups", depth=1)
+    flat = op.flatten_tree(df, NODE, fields=["name"], groups="groups", depth=1)
     assert set(rows(flat)) == shared
+    with pytest.raises(ValueError, match="rename"):
+        op.flatten_tree(df.withColumn("Level", F.lit(1)), NODE, fields=["name"], groups="groups", depth=1)
 
 
 def test_tree_node_reached_twice_is_one_row(spark):
     group = [(10, "g", None, None)]
     df = spark.createDataFrame([(1, "root", group + group, None), (1, "root", group, None)], TREE)
-    assert rows(op.flatten_tree(df, node, groups="groups", leaves="leaves", depth=2)) == {
+    assert rows(op.flatten_tree(df, NODE, fields=["name"], groups="groups", leaves="leaves", depth=2)) == {
         (1, "root", 0, None): 1,
         (10, "g", 1, 1): 1,
     }
