@@ -5,6 +5,7 @@ from refinery.functions.parsing import (
     as_of_date,
     cents_to_decimal,
     instant_date,
+    is_recent,
     parse_date,
     parse_int,
     parse_timestamp,
@@ -33,6 +34,7 @@ __all__ = [
     "foreign_key",
     "full_name",
     "instant_date",
+    "is_recent",
     "lookup",
     "nth",
     "parse_date",

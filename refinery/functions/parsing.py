@@ -62,6 +62,14 @@ def cents_to_decimal(value: ColumnLike, precision: int = 8, scale: int = 2) -> C
     return (cents / 100).try_cast(f"decimal({precision},{scale})")
 
 
+def is_recent(moment: ColumnLike, days: int, as_of: Column | str | dt.date | None = None) -> Column:
+    """Does the moment lie after midnight, ``days`` days before ``as_of``?
+
+    The bound is strict and there is no upper one: the future is recent.
+    """
+    return as_column(moment) > F.date_sub(as_of_date(as_of), days)
+
+
 def as_of_date(as_of: Column | str | dt.date | None = None) -> Column:
     """The reference day of a run: given explicitly, else today."""
     if as_of is None:

@@ -13,7 +13,12 @@ from refinery.functions._columns import ColumnLike, as_column
 from refinery.operators.nested import explode_children
 from refinery.operators.project import project
 
-_PICKS = {"max": F.array_max, "min": F.array_min, "first": lambda values: F.get(values, F.lit(0))}
+# The measure of the entries that match; the highest and the lowest pass over NULL.
+_PICKS = {
+    "max": lambda array, match, value: F.array_max(F.transform(array, lambda e: F.when(match(e), value(e)))),
+    "min": lambda array, match, value: F.array_min(F.transform(array, lambda e: F.when(match(e), value(e)))),
+    "first": lambda array, match, value: value(F.get(F.filter(array, match), F.lit(0))),
+}
 _AGGREGATES = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
@@ -93,8 +98,7 @@ def bucket_columns(
     source, chosen = as_column(array), _PICKS[pick]
 
     def column(value: Any) -> Column:
-        entries = F.filter(source, lambda entry: entry[bucket] == F.lit(value))
-        measured = chosen(F.transform(entries, lambda entry: entry[measure]))
+        measured = chosen(source, lambda entry: entry[bucket] == F.lit(value), lambda entry: entry[measure])
         return measured if when is None else F.when(when, measured)
 
     return {name: column(value) for value, name in buckets.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions._columns import ColumnLike
@@ -17,6 +17,7 @@ def explode_children(
     columns: Mapping[str, ColumnLike],
     *,
     require: Iterable[ColumnLike] = (),
+    where: Column | None = None,
     fields: Iterable[str] = (),
 ) -> DataFrame:
     """One row per child, with parent and child columns side by side.
@@ -24,7 +25,9 @@ def explode_children(
     ``arrays`` maps an alias to the path of an array; a later path may start with an earlier
     alias, which walks arrays inside arrays: ``{"rule": "rules", "age": "rule.ages"}``.
     ``columns`` is the projection; it sees the parent's columns and the aliases.
-    ``require`` names columns (parent's or children's) that must not be NULL.
+    ``require`` names columns (parent's or children's) that must not be NULL; ``where`` is a
+    further condition. Both apply after the explode, which Spark compiles with them, and that
+    is quicker than to filter the array beforehand.
 
     Parents without children give no row. The inner explode lets Spark skip such parents
     below the generator, also when ``require`` asks for the child's id.
@@ -46,4 +49,5 @@ def explode_children(
         if wanted:
             children = F.arrays_zip(*[F.col(f"{path}.{field}").alias(field) for field in wanted])
         lines = lines.select("*", F.explode(children).alias(alias))
-    return project(require_columns(lines, *require), columns)
+    known = require_columns(lines, *require)
+    return project(known if where is None else known.filter(where), columns)

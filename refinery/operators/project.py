@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions._columns import ColumnLike, as_column
-from refinery.functions.parsing import as_of_date
+from refinery.functions.parsing import as_of_date, is_recent
 
 
 def project(df: DataFrame, columns: Mapping[str, ColumnLike]) -> DataFrame:
@@ -61,12 +61,9 @@ def require(df: DataFrame, *columns: ColumnLike) -> DataFrame:
 def recent(
     df: DataFrame, moment: ColumnLike, days: int, as_of: Column | str | dt.date | None = None
 ) -> DataFrame:
-    """Rows whose moment lies after midnight, ``days`` days before ``as_of``.
-
-    The bound is strict and there is no upper one: rows of the future pass. The bound is a
-    constant, so on a stored column the filter reaches the scan.
-    """
-    return df.filter(as_column(moment) > F.date_sub(as_of_date(as_of), days))
+    """Rows whose moment ``is_recent``. The bound is a constant, so that on a stored column the
+    filter reaches the scan."""
+    return df.filter(is_recent(moment, days, as_of))
 
 
 def stamp(

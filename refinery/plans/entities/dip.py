@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.functions import as_of_date, cents_to_decimal, parse_timestamp
+from refinery.functions import as_of_date, cents_to_decimal, is_recent, parse_timestamp
 from refinery.operators import explode_children, project
 from refinery.plans.entities.entity import Entity
 
@@ -99,16 +99,9 @@ def theater_locations(df: DataFrame) -> DataFrame:
 def sales(
     df: DataFrame, *, as_of: Column | str | dt.date | None = None, added_at: Column | None = None
 ) -> DataFrame:
-    """A daily snapshot of sales per performance, for performances still followed.
-
-    Past performances are taken out of the arrays before these are exploded.
-    """
-    last_day = F.date_sub(as_of_date(as_of), SALES_DAYS)
-    followed = df.withColumn(
-        "performances", F.filter("performances", lambda item: parse_timestamp(item["date"]) > last_day)
-    )
+    """A daily snapshot of sales per performance, for performances still followed."""
     lines = explode_children(
-        followed,
+        df,
         {"performance": "performances"},
         {
             "VoorstellingId": "performance.number",
@@ -117,6 +110,7 @@ def sales(
             "Tickets": "performance.tickets",
             "Updated": parse_timestamp("performance.updated"),
         },
+        where=is_recent(parse_timestamp("performance.date"), SALES_DAYS, as_of),
     )
     return lines.withColumn("Toegevoegd", F.current_timestamp() if added_at is None else added_at)
 
