@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from refinery.functions._columns import ColumnLike
 from refinery.operators.project import project
@@ -40,67 +39,53 @@ def flatten_tree(
     and once for itself. These are plain explodes, which Spark compiles, and the rows stay in
     their task. The one shuffle is that of the final distinct, which combines beforehand.
     """
-    clash = {column.lower() for column in df.columns} & set(_SEEN)
+    own = df.columns
+    clash = {column.lower() for column in own} & set(_SEEN)
     if clash:
         raise ValueError(f"{sorted(clash)} are columns of the root already; rename them")
     carried = list(dict.fromkeys([id_field, *fields]))
-    tree = df.select(
+    arrays = {"_groups": groups, "_leaves": leaves} if leaves else {"_groups": groups}
+    tree = df.selectExpr(
         "*",
-        *[F.col(field).alias(f"_node_{field}") for field in carried],
-        *[F.lit(None).cast(df.schema[field].dataType).alias(f"_parent_{field}") for field in carried],
-        F.lit(0).alias("_level"),
-        F.col(groups).alias("_groups"),
-        *([F.col(leaves).alias("_leaves")] if leaves else []),
+        *[f"`{field}` as `_node_{field}`" for field in carried],
+        *[f"case when false then `{field}` end as `_parent_{field}`" for field in carried],
+        "0 as _level",
+        *[f"`{field}` as {array}" for array, field in arrays.items()],
     )
+
+    def descend(array: str, following: Mapping[str, str], known: str) -> DataFrame:
+        """Every row once for itself and once for each child in ``array``; ``following`` says
+        what becomes of the arrays."""
+        spread = tree.selectExpr("*", f"posexplode(concat(array(null), coalesce({array}, array()))) as (_at, _child)")
+        return spread.filter(f"_at = 0 or {known} is not null").selectExpr(
+            *[f"`{column}`" for column in own],
+            *[f"case when _at > 0 then _child.`{x}` else `_node_{x}` end as `_node_{x}`" for x in carried],
+            *[f"case when _at > 0 then `_node_{x}` else `_parent_{x}` end as `_parent_{x}`" for x in carried],
+            "case when _at > 0 then _level + 1 else _level end as _level",
+            *[f"{following[name]} as {name}" for name in arrays],
+        )
+
+    child_id = f"_child.`{id_field}`"
     for level in range(depth + 1):
         if leaves:
-            tree = _descend(tree, "_leaves", carried, id_field, orphans=False, deeper={})
+            # A leaf has nothing below it; the row itself still has its groups.
+            rest = {"_groups": "case when _at = 0 then _groups end", "_leaves": "null"}
+            tree = descend("_leaves", rest, known=child_id)
         if level < depth:
-            deeper = {"_groups": groups if level + 1 < depth else None, "_leaves": leaves}
-            tree = _descend(tree, "_groups", carried, id_field, orphans, deeper)
-
-    def seen(kind: str) -> Column:
-        return F.struct(*[F.col(f"_{kind}_{field}").alias(field) for field in carried]).alias(kind)
-
-    nodes = tree.filter((F.col("_level") == 0) | F.col(f"_node_{id_field}").isNotNull())
-    named = nodes.select(*df.columns, seen("node"), seen("parent"), F.col("_level").alias("level"))
-    return project(named, columns).distinct()
-
-
-def _descend(
-    tree: DataFrame,
-    array: str,
-    carried: Sequence[str],
-    id_field: str,
-    orphans: bool,
-    deeper: Mapping[str, str | None],
-) -> DataFrame:
-    """Every row once for itself, and once for each child in ``array``.
-
-    ``deeper`` says where a child keeps the arrays still to come. The row itself is done with
-    ``array``; after a step with deeper arrays it is done altogether.
-    """
-    item = tree.schema[array].dataType.elementType
-    itself = F.array(F.lit(None).cast(item))
-    spread = tree.select("*", F.posexplode(F.concat(itself, F.coalesce(array, F.array()))).alias("_at", "_child"))
-    is_child = F.col("_at") > 0
-    known = F.col("_child").isNotNull() if orphans else F.col(f"_child.{id_field}").isNotNull()
-
-    def either(child: Column, same: Column) -> Column:
-        return F.when(is_child, child).otherwise(same)
-
-    changed = {f"_node_{field}": either(F.col(f"_child.{field}"), F.col(f"_node_{field}")) for field in carried}
-    changed |= {f"_parent_{field}": either(F.col(f"_node_{field}"), F.col(f"_parent_{field}")) for field in carried}
-    changed["_level"] = F.col("_level") + F.when(is_child, 1).otherwise(0)
-    for name in ("_groups", "_leaves"):
-        if name not in tree.columns:
-            continue
-        if deeper:
-            field = deeper[name]
-            changed[name] = F.col(f"_child.{field}") if field else F.lit(None).cast("array<void>")
-        else:
-            changed[name] = F.when(~is_child, F.col(name)) if name != array else F.lit(None).cast("array<void>")
-    kept = [column for column in tree.columns if column not in changed]
-    return spread.filter(~is_child | known).select(
-        *[F.col(f"`{column}`") for column in kept], *[value.alias(name) for name, value in changed.items()]
+            # A group brings its own arrays; the row itself is done.
+            last = level + 1 == depth
+            inner = {array: f"_child.`{field}`" for array, field in arrays.items()}
+            tree = descend(
+                "_groups",
+                {**inner, "_groups": "null"} if last else inner,
+                known="_child" if orphans else child_id,
+            )
+
+    def as_struct(kind: str) -> str:
+        pairs = [f"'{field}', `_{kind}_{field}`" for field in carried]
+        return f"named_struct({', '.join(pairs)}) as {kind}"
+
+    named = tree.filter(f"_level = 0 or `_node_{id_field}` is not null").selectExpr(
+        *[f"`{column}`" for column in own], as_struct("node"), as_struct("parent"), "_level as level"
     )
+    return project(named, columns).distinct()
