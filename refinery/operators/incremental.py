@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from refinery.functions._columns import ColumnLike
@@ -61,59 +63,48 @@ def scd2(
     """The history of each key: one row per run of unchanged ``tracked`` values.
 
     Adds ``valid_from``, ``valid_to`` (start of the next run; NULL for the last) and
-    ``is_current``. Rows are ordered by ``ts``, then ``tie_break``.
+    ``is_current``. Rows are ordered by ``ts``, then ``tie_break``, which should leave no ties
+    between different values.
 
     A key is never handled as one group. Its rows are cut into time slices (any unit of
-    ``date_trunc``; take a finer one if one key is very busy), and runs are found slice by
-    slice. One summary row per key and slice then tells each slice how the one before it
-    ended and when the next change comes, so only those summaries meet in one group.
+    ``date_trunc``: finer for keys that are very busy, coarser if all keys are quiet), and the
+    starts of runs are found slice by slice. Only the first and the last start of each slice
+    then meet those of the key's other slices.
     """
-    # All that later steps need is in these three columns, so that both of them read one shuffle.
-    key = F.struct(*keys)
-    rows = changes.select(
-        F.struct(key.alias("key"), F.date_trunc(time_slice, ts).alias("slice")).alias("_cell"),
-        F.struct(ts, *tie_break).alias("_order"),
-        F.struct(*tracked).alias("_state"),
-    )
+    order = [ts, *tie_break]
+    at = F.struct(*order)
 
-    # Within a slice: the first row and every row that differs from the one before.
-    in_slice = Window.partitionBy("_cell").orderBy("_order")
-    starts = (
-        rows.withColumns({"_before": F.lag("_state").over(in_slice), "_row": F.row_number().over(in_slice)})
-        .filter((F.col("_row") == 1) | ~F.col("_state").eqNullSafe(F.col("_before")))
-        .withColumns({"_next": F.lead("_order").over(in_slice), "_row": F.row_number().over(in_slice)})
-    )
+    def unchanged(window: WindowSpec) -> Column:
+        """Is there a row before, with the same values?"""
+        same = [F.col(column).eqNullSafe(F.lag(column).over(window)) for column in tracked]
+        return reduce(and_, same, F.lag(F.lit(True)).over(window).isNotNull())
 
-    # Across slices, on one row each. The first start of a slice is no change if the last
-    # slice ended in the same state; the slice's first true change is then its second start.
-    across = Window.partitionBy("_key").orderBy("_slice")
-    backwards = Window.partitionBy("_key").orderBy(F.col("_slice").desc())
-    slices = (
-        starts.groupBy("_cell")
-        .agg(
-            F.min_by("_state", "_order").alias("_opens"),
-            F.max_by("_state", "_order").alias("_closes"),
-            F.min("_order").alias("_first"),
-            F.min(F.when(F.col("_row") == 2, F.col("_order"))).alias("_second"),
-        )
-        .withColumns({"_key": F.col("_cell.key"), "_slice": F.col("_cell.slice")})
-        .withColumn("_carried", F.col("_opens").eqNullSafe(F.lag("_closes").over(across)))
-        .withColumn("_change", F.when(F.col("_carried"), F.col("_second")).otherwise(F.col("_first")))
-        .withColumn(
-            "_later",
-            F.last("_change", ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select("_cell", "_carried", "_later")
+    in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    starts = (
+        changes.select(*dict.fromkeys([*keys, *tracked, *order]), F.date_trunc(time_slice, ts).alias("_slice"))
+        .withColumn("_unchanged", unchanged(in_slice))
+        .filter(~F.col("_unchanged"))
+        .withColumns({"_first": F.row_number().over(in_slice) == 1, "_next": F.lead(at).over(in_slice)})
     )
 
-    end = F.coalesce(F.col("_next"), F.col("_later"))
+    # A slice's first start is none if the slice before ended in the same state, and the next
+    # change may lie some slices on. The starts in between stay in groups of their own slice.
+    edge = F.col("_first") | F.col("_next").isNull()
+    grouped = starts.withColumns({"_edge": edge, "_group": F.when(~edge, F.col("_slice"))})
+    across = Window.partitionBy(*keys, "_edge", "_group").orderBy(*order)
+    backwards = Window.partitionBy(*keys, "_edge", "_group").orderBy(*[F.col(column).desc() for column in order])
+    change = F.when(F.col("_first"), F.when(F.col("_carried"), F.col("_next")).otherwise(at))
+    later = F.last("_change", ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, -1))
+    end = F.coalesce("_next", "_later")
     return (
-        starts.join(slices, "_cell")
-        .filter(~(F.col("_carried") & (F.col("_row") == 1)))
+        grouped.withColumn("_carried", F.col("_first") & unchanged(across))
+        .withColumn("_change", change)
+        .withColumn("_later", later)
+        .filter(~F.col("_carried"))
         .select(
-            *[F.col("_cell.key").getField(name).alias(name) for name in keys],
-            *[F.col("_state").getField(name).alias(name) for name in tracked],
-            F.col("_order").getField(ts).alias("valid_from"),
+            *keys,
+            *tracked,
+            F.col(ts).alias("valid_from"),
             end.getField(ts).alias("valid_to"),
             end.isNull().alias("is_current"),
         )
