@@ -49,19 +49,20 @@ def with_parent(
     name: ColumnLike,
     parent_key_name: str = "parent_key",
     parent_name: str = "parent_name",
+    unique_key: bool = False,
 ) -> DataFrame:
     """``df`` with the key and name of each row's parent in the same table.
 
     A row without parent, or whose parent is not there, gets a NULL key and its own name, so
-    it stands as a root. Repeated (key, name) pairs are looked up once. Whether the lookup
-    side is broadcast is left to Spark, which knows its size; beyond the threshold it is a
-    sort-merge join in which adaptive execution splits hot parents and the NULL parent.
+    it stands as a root. Repeated (key, name) pairs are looked up once; ``unique_key`` promises
+    that no key repeats, which saves a shuffle. Whether the lookup side is broadcast is left to
+    Spark, which knows its size; beyond the threshold it is a sort-merge join in which adaptive
+    execution splits hot parents and the NULL parent.
     """
-    parents = (
-        df.select(as_column(key).alias("_key"), as_column(name).alias("_name"))
-        .filter(F.col("_key").isNotNull())
-        .distinct()
-    )
+    parents = df.select(as_column(key).alias("_key"), as_column(name).alias("_name"))
+    parents = parents.filter(F.col("_key").isNotNull())
+    if not unique_key:
+        parents = parents.distinct()
     joined = df.join(parents, as_column(parent_key) == F.col("_key"), "left")
     return joined.withColumns(
         {parent_key_name: F.col("_key"), parent_name: F.coalesce(F.col("_name"), as_column(name))}

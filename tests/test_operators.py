@@ -172,6 +172,8 @@ def test_parent_lookup(spark):
         "id string, name string, up string",
     )
     related = op.with_parent(df, key="id", parent_key="up", name="name").drop("up", "name")
+    unique = op.with_parent(df, key="id", parent_key="up", name="name", unique_key=True).drop("up", "name")
+    assert rows(unique) == rows(related)
     assert rows(related) == {
         ("a", None, "top"): 1,
         ("b", "a", "top"): 1,

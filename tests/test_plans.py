@@ -102,6 +102,12 @@ def test_unique_keys_save_the_join(payload):
     assert shape(shared) == (2, 3)
 
 
+def test_unique_parents_are_not_made_distinct(payload):
+    columns = {"key": "id", "parent_key": "tenant", "name": "id"}
+    assert shape(op.with_parent(payload, **columns)) == (2, 3)
+    assert shape(op.with_parent(payload, **columns, unique_key=True)) == (2, 2)
+
+
 def test_rollup_and_latest_work_before_they_shuffle(payload):
     lines = op.rollup_lines(payload, {"t": "tenant"}, {"a": "line.amount"}, arrays={"line": "lines"})
     assert shape(lines) == (1, 1)
