@@ -48,16 +48,12 @@ LICENSES = {
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
         "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary",
     ],
-    "cc-by": [
+    "cc": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-    ],
-    "cc-by-sa": [
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
-    ],
-    "cc-by-nc": [
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Licensed under CC BY 4.0.",
+        "Licensed under CC BY-SA 4.0.",
         "Licensed under CC BY-NC 4.0.",
     ],
 }
