@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, licenses, private, quality, secrets, topk
+from refinery.llm import bpe, decontaminate, jaccard, licenses, private, quality, secrets, topk
 from refinery.llm.common import base_spans, count_kind, join_spans
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,10 @@ def op4_private_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(*_span_digests("private", ["email", "ip", "card", "phone"]))
 
 
+def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     coded = bpe.with_ids(docs, RANKS, PATTERN).drop("text")
@@ -91,13 +95,20 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
     "op3_topk_search": op3_topk_search,
     "op4_private_data": op4_private_data,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_quality": op9_quality,
+    "op10_decontamination": op10_decontamination,
 }
 
 # The scores are whole numbers far below 2^53, so the double sums are exact.
