@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, decontaminate, jaccard, licenses, private, quality, secrets, topk
+from refinery.llm import bpe, decontaminate, jaccard, language_model, licenses, private, quality, repeats, secrets, topk
 from refinery.llm.common import base_spans, count_kind, join_spans
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,13 @@ def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op6_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = language_model.with_backoff_scores(docs).drop("text")
+    mean = F.col("lm.log_score") / F.greatest(F.col("lm.words"), F.lit(1))
+    return scored.select("doc_id", F.col("lm.words").alias("n_words"), F.round(mean, 6).alias("mean_log_score"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     coded = bpe.with_ids(docs, RANKS, PATTERN).drop("text")
@@ -84,6 +91,10 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_repeated_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_paragraphs(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, folder, "labels"))
@@ -106,7 +117,9 @@ QUERIES: dict[str, Run] = {
     "op3_topk_search": op3_topk_search,
     "op4_private_data": op4_private_data,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_backoff_scores": op6_backoff_scores,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
 }
@@ -126,4 +139,37 @@ SELECT query_id, rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op3_topk_search": OP3_SQL}
+OP6_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), t AS (
+  SELECT doc_id, i, words[i] AS word, CASE WHEN i > 1 THEN words[i - 1] END AS before
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w)
+), one AS (SELECT word, count(*) AS n FROM t GROUP BY word),
+own_one AS (SELECT doc_id, word, count(*) AS n FROM t GROUP BY doc_id, word),
+two AS (SELECT before, word, count(*) AS n FROM t WHERE before IS NOT NULL GROUP BY before, word),
+own_two AS (SELECT doc_id, before, word, count(*) AS n FROM t WHERE before IS NOT NULL GROUP BY doc_id, before, word),
+all_words AS (SELECT count(*) AS n FROM t), own_words AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (
+  SELECT t.doc_id, t.i, t.before,
+    one.n - own_one.n AS left_one, two.n - own_two.n AS left_two, c.n - own_c.n AS left_before, all_words.n - own_words.n AS rest
+  FROM t JOIN one USING (word) JOIN own_one USING (doc_id, word) JOIN own_words USING (doc_id) CROSS JOIN all_words
+  LEFT JOIN two ON two.before = t.before AND two.word = t.word
+  LEFT JOIN own_two ON own_two.doc_id = t.doc_id AND own_two.before = t.before AND own_two.word = t.word
+  LEFT JOIN one c ON c.word = t.before
+  LEFT JOIN own_one own_c ON own_c.doc_id = t.doc_id AND own_c.word = t.before
+), v AS (
+  SELECT doc_id, CASE
+    WHEN before IS NOT NULL AND left_two > 0 THEN left_two::DOUBLE / left_before
+    ELSE (CASE WHEN before IS NULL THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END)
+       * (CASE WHEN left_one > 0 THEN left_one::DOUBLE / rest ELSE 1.0::DOUBLE / (rest + 1) END) END AS value
+  FROM s
+)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, round(coalesce(x.total, 0) / greatest(len(w.words), 1), 6) AS mean_log_score
+FROM w LEFT JOIN (SELECT doc_id, sum(ln(value)) AS total FROM v GROUP BY doc_id) x USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_topk_search": OP3_SQL, "op6_backoff_scores": OP6_SQL}
