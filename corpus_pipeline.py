@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, private, quality
+from refinery.llm import bpe, decontaminate, jaccard, private, quality
 from refinery.llm.common import keep_on_disk
 from refinery.llm.queries import PATTERN, RANKS, table
 
@@ -20,6 +20,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.accepted(docs, model)
 
 
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, a similarity of 0.8."""
+    return jaccard.one_per_class(docs, settings=jaccard.Settings(n=5, percent=80))
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked in the texts; the number of characters follows."""
     clean = docs.withColumn("text", private.masked(docs["text"]))
@@ -40,6 +50,8 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality_stage),
+    ("near_copies", near_copies_stage),
+    ("benchmark", benchmark_stage),
     ("private", private_stage),
     ("encode", encode_stage),
 ]

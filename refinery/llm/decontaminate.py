@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import free_name, keep_on_disk
+from refinery.llm.common import keep_on_disk
 from refinery.llm.hashing import BY_PUNCTUATION, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
+from refinery.llm.rows import without_ids
 
 # Units behind a number, and numbers in words.
 UNITS = (
@@ -250,6 +251,4 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id",
 
     Rows without id cannot be named by a pair, so they stay.
     """
-    key = free_name(docs, "_leaked")
-    leaked = leaks(docs, benchmark, id=id, **options).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(leaked, docs[id].cast("long") == leaked[key], "left_anti")
+    return without_ids(docs, leaks(docs, benchmark, id=id, **options).select("doc_id").distinct(), id=id)

@@ -20,10 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import keep_on_disk
+from refinery.llm.rows import first_of_ids, without_ids
 from refinery.llm.hashing import BY_BLANKS, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
-from refinery.llm.linking import connected_components, link_by_keys
-
-__all__ = ["Settings", "jaccard_classes", "connected_components"]
+from refinery.llm.linking import link_by_keys, shared_only
 
 
 @dataclass(frozen=True)
@@ -198,23 +197,22 @@ def jaccard_classes(
     counts = sketch(texts.select("text"), settings)
     signed = keep_on_disk(signatures(texts, counts, settings), "signatures")
     keys = ["key1", "key2", "size"]
+    able = signed.where("size > 0 AND node IS NOT NULL")
     classes = keep_on_disk(
-        signed.where("size > 0 AND node IS NOT NULL")
-        .groupBy(*keys)
-        .agg(
-            F.min("node").alias("node"),
-            F.first("matches").alias("matches"),
-            F.first("prefix").alias("prefix"),
-            F.first("bits").alias("bits"),
-        ),
-        "classes",
+        able.groupBy(*keys).agg(F.min("node").alias("node"), F.first("bits").alias("bits")), "classes"
+    )
+    shared = shared_only(able.select(F.explode("prefix").alias("key"), "node", "size", "matches"))
+    stands_for = able.select(*keys, F.col("node").alias("member")).join(classes.select(*keys, "node"), keys)
+    stands_for = stands_for.select("member", F.col("node").alias("class"))
+    postings = keep_on_disk(
+        shared.join(stands_for, F.col("node") == F.col("member"))
+        .groupBy("key", F.col("class").alias("node"))
+        .agg(F.min("size").alias("size"), F.min("matches").alias("matches")),
+        "class-postings",
     )
-    postings = classes.select(F.explode("prefix").alias("key"), "node", "size", "matches")
     percent = F.lit(settings.percent)
     near = 100 * F.least("a_size", "b_size") >= percent * F.greatest("a_size", "b_size")
 
-    passing: list[DataFrame] = []
-
     def verify(pairs: DataFrame) -> DataFrame:
         sides = [
             classes.select(F.col("node").alias(s), F.col("size").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
@@ -239,7 +237,6 @@ def jaccard_classes(
 
         some = texts.where("node IS NOT NULL").withColumn("hash", F.xxhash64("node"))
         found = some.mapInArrow(needed, "node long, text string")
-        passing.append(found)
         return verify_pairs(left, found, settings)
 
     linked = link_by_keys(
@@ -256,3 +253,18 @@ def jaccard_classes(
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         )
     )
+
+
+def one_per_class(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """``docs`` with one row of each class of :func:`jaccard_classes`, that of the smallest id; columns stay.
+
+    Of rows with that same id the one with the smallest text stays. Rows without id or without
+    shingles stay.
+    """
+    found = jaccard_classes(docs, id=id, text=text, settings=settings).where("doc_id IS NOT NULL")
+    found = keep_on_disk(found.where("n_shingles > 0"), "classes-of-documents")
+    kept = without_ids(docs, found.where("doc_id <> component_id").select("doc_id").distinct(), id=id)
+    twice = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    return first_of_ids(kept, twice, id=id, order=text)

@@ -53,19 +53,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "component")
 
 
+def shared_only(postings: DataFrame) -> DataFrame:
+    """The postings whose key occurs more than once, on shared disk; the others are most of them as a rule."""
+    shared = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return keep_on_disk(postings.join(shared, "key"), "postings")
+
+
 def link_by_keys(postings: DataFrame, verify: Verify, *, near: Column, enough: Column) -> DataFrame:
     """(node, component) of the nodes that are linked to any other.
 
-    ``postings`` has columns key, node and others that ``near`` and ``enough`` speak of, prefixed with
+    ``postings``, a written table, has columns key, node and others that ``near`` and ``enough`` speak of, prefixed with
     ``a_`` and ``b_``: ``near`` says whether two nodes of a key may be linked at all, ``enough``
     whether two nodes with ``shared`` keys in common must be verified (it sees the pair's first values).
     ``verify`` takes pairs (a, b) and returns those that are linked. Finds every link between
     components, so the components are those of all links.
     """
     extra = [name for name in postings.columns if name not in ("key", "node")]
-    common = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    postings = keep_on_disk(postings.join(common, "key"), "postings")
-
     turn = F.xxhash64("node", "key")
     leaders = postings.groupBy("key").agg(
         F.min_by("node", turn).alias("b"), *(F.min_by(name, turn).alias(f"b_{name}") for name in extra)

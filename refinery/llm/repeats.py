@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from refinery.llm.common import free_name, keep_on_disk
 from refinery.llm.hashing import BY_PUNCTUATION, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
-from refinery.llm.linking import link_by_keys
+from refinery.llm.linking import link_by_keys, shared_only
 
 
 @dataclass(frozen=True)
@@ -206,7 +206,7 @@ def repeated_paragraphs(
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = keep_on_disk(signatures(texts, settings), "paragraphs")
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
-    postings = nodes.select(F.explode("bands").alias("key"), "node")
+    postings = shared_only(nodes.select(F.explode("bands").alias("key"), "node"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = keep_on_disk(pairs, "candidates")
