@@ -11,6 +11,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Mapping
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -71,8 +72,13 @@ _dot = re.compile(
     rf"|(?<=[A-Za-z0-9])\s++(?:{DOT})\s+(?=[A-Za-z0-9])",
     re.IGNORECASE,
 )
-# What every disguise contains; a text without any of it is its own normal form.
-_hint = re.compile(rf"[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]|\b(?:{DOT})\b|\s@|@\s", re.IGNORECASE)
+# What rewriting takes at least; most texts have nothing of it and are their own normal form.
+_words = bytes(0x20 if b < 0x80 and not chr(b).isalnum() else b for b in range(256))
+_dots = frozenset(word.encode() for word in DOT.split("|"))
+_parts = {word.encode(): 1 for word in [*SPELLED, *DOT.split("|"), *PLUS.split("|")]}
+_alikes = frozenset(ALIKE)
+_figure = re.compile("[0-9]")
+_bracketed = re.compile(rf"[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]", re.IGNORECASE)
 
 
 class Rewritten:
@@ -115,12 +121,23 @@ class Rewritten:
         return bisect_right(self.starts, end - 1) - 1 > k
 
 
+def plain_words(text: str) -> list[bytes]:
+    """The words in lower case, without ASCII marks; what the hints are looked up in."""
+    return text.lower().encode().translate(_words).split()
+
+
 def look_alikes(text: str) -> list[tuple[int, int, str]]:
-    return [] if text.isascii() else [(*m.span(), ALIKE[m[0]]) for m in _alike.finditer(text)]
+    if text.isascii() or _alikes.isdisjoint(text):
+        return []
+    return [(*m.span(), ALIKE[m[0]]) for m in _alike.finditer(text)]
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     """Runs of four and more spelled digits become digits, without the gaps between them."""
+    marks = bytes(map(_parts.get, plain_words(text), repeat(0)))
+    # Four parts stand side by side, unless figures stand between them.
+    if marks.count(1) < LEAST_SPELLED or not (b"\1\1\1\1" in marks or _figure.search(text)):
+        return []
     pieces = []
     for run in _run.finditer(text):
         found = [(m.lastgroup, *m.span(), m[0]) for m in _part.finditer(text, *run.span())]
@@ -134,7 +151,8 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
 
 
 def written_signs(text: str) -> list[tuple[int, int, str]]:
-    if not _hint.search(text):
+    brackets = any(map(text.__contains__, "[({<")) and _bracketed.search(text)
+    if not brackets and "@" not in text and _dots.isdisjoint(plain_words(text)):
         return []
     pieces: list[tuple[int, int, str]] = []
     marks = [(*m.span(), "@") for m in _at.finditer(text)] + [(*m.span(), ".") for m in _dot.finditer(text)]
