@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from refinery.functions._columns import ColumnLike, as_column
 
-# Up to this many entries a CASE chain is as quick as a map and folds better.
-_CASE_LIMIT = 16
-
 
 def const(value: Any, type_: str | None = None) -> Column:
     """A constant column; give the type for a NULL, which has none of its own."""
@@ -65,19 +62,17 @@ def nth(array: ColumnLike, index: int) -> Column:
 def lookup(value: ColumnLike, mapping: Mapping[Any, Any], default: Column | Any = None) -> Column:
     """Code to label by a fixed dictionary; unknown codes take ``default``.
 
-    The dictionary travels inside the plan, so keep it small; a dictionary that is itself a
+    A CASE chain whatever the number of entries, so codes are compared as SQL compares them and a
+    known code with the label None gives NULL, not the default. The dictionary travels inside the plan, so keep it small; a dictionary that is itself a
     table belongs in ``operators.lookup_join``.
     """
     column = as_column(value)
     other = default if isinstance(default, Column) else F.lit(default)
     if not mapping:
         return other
-    if len(mapping) <= _CASE_LIMIT:
-        entries = iter(mapping.items())
-        code, label = next(entries)
-        case = F.when(column == code, F.lit(label))
-        for code, label in entries:
-            case = case.when(column == code, F.lit(label))
-        return case.otherwise(other)
-    pairs = [F.lit(item) for entry in mapping.items() for item in entry]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), column), other)
+    entries = iter(mapping.items())
+    code, label = next(entries)
+    case = F.when(column == code, F.lit(label))
+    for code, label in entries:
+        case = case.when(column == code, F.lit(label))
+    return case.otherwise(other)

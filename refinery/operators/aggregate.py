@@ -18,6 +18,10 @@ _PICKS = {
     "max": lambda array, match, value: F.array_max(F.transform(array, lambda e: F.when(match(e), value(e)))),
     "min": lambda array, match, value: F.array_min(F.transform(array, lambda e: F.when(match(e), value(e)))),
     "first": lambda array, match, value: value(F.get(F.filter(array, match), F.lit(0))),
+    "sum": lambda array, match, value: F.when(
+        F.exists(array, lambda e: match(e) & value(e).isNotNull()),
+        F.aggregate(F.filter(array, match), F.lit(0).cast("double"), lambda total, e: total + F.coalesce(value(e), F.lit(0))),
+    ),
 }
 _AGGREGATES = {"max": F.max, "min": F.min, "sum": F.sum}
 
@@ -40,20 +44,30 @@ def count_children(
     )
 
 
-def line_sum(value: ColumnLike, type_: T.DataType, scale: int = 6) -> Column:
-    """A sum that does not depend on the order of the rows.
+def line_sum(value: ColumnLike, type_: T.DataType) -> Column:
+    """A sum that does not depend on the order of the rows, and rounds nothing before adding.
 
-    Floating-point lines are added as decimals with ``scale`` digits and given back as
-    double. Values that no such decimal can hold (NaN, infinity, 1e22 and up) are added as
-    they are. Other types use Spark's own sum.
+    Floating-point lines are added in decimals: the value to six digits, and what that leaves of
+    it to thirty, each exactly; the total is given back as double. Values that no such decimal
+    can hold (NaN, infinity, 1e22 and up) are added as they are, and so are all if the decimals
+    run over. Other types use Spark's own sum.
     """
     column = as_column(value)
     if not isinstance(type_, (T.DoubleType, T.FloatType)):
         return F.sum(column)
-    exact = column.try_cast(f"decimal(28,{scale})")
-    total = F.sum(exact).cast("double")
-    rest = F.sum(F.when(exact.isNull(), column).cast("double"))
-    return F.coalesce(total + rest, total, rest)
+    column = column.cast("double")
+    near = column.try_cast("decimal(28,6)")
+    rest = (column - near.cast("double")).try_cast("decimal(38,30)")
+    high, low = F.try_sum(near), F.try_sum(rest)
+    # Added as decimals where both fit, so that the total is rounded once.
+    joined = (high.try_cast("decimal(38,18)") + low.try_cast("decimal(38,18)")).cast("double")
+    total = F.when(high == 0, low.cast("double")).otherwise(
+        F.coalesce(joined, high.cast("double") + low.cast("double"))
+    )
+    whole = F.when((F.count(near) > 0) & (high.isNull() | low.isNull()), F.sum(F.when(near.isNotNull(), column)))
+    beyond = F.sum(F.when(near.isNull(), column))
+    exact = F.coalesce(whole, total)
+    return F.coalesce(exact + beyond, exact, beyond)
 
 
 def rollup_lines(
@@ -63,7 +77,6 @@ def rollup_lines(
     *,
     arrays: Mapping[str, str] | None = None,
     require: Iterable[ColumnLike] = (),
-    scale: int = 6,
 ) -> DataFrame:
     """Lines with equal keys made one, their measures summed.
 
@@ -76,7 +89,7 @@ def rollup_lines(
         lines = explode_children(df, arrays, columns, require=require)
     else:
         lines = project(df, columns)
-    totals = [line_sum(name, lines.schema[name].dataType, scale).alias(name) for name in sums]
+    totals = [line_sum(name, lines.schema[name].dataType).alias(name) for name in sums]
     return lines.groupBy(*keys).agg(*totals)
 
 
@@ -92,8 +105,8 @@ def bucket_columns(
     """One column per known bucket, from an array of ``{bucket, measure}`` in the same row.
 
     A bucket that is absent gives NULL, and so does every bucket where ``when`` fails. Where
-    a bucket occurs more than once, ``pick`` (max, min, first) says which measure counts, so
-    the row is never multiplied. Needs neither join nor shuffle.
+    a bucket occurs more than once, ``pick`` (max, min, first, sum) says which measure counts, so
+    the row is never multiplied; sums are doubles. Needs neither join nor shuffle.
     """
     source, chosen = as_column(array), _PICKS[pick]
 

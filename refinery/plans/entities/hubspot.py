@@ -72,12 +72,11 @@ SCHEMAS = {
 SCORED_GROUPS = ("PROMOTER", "PASSIVE", "DETRACTOR")
 FIRST_SANE_DATE = "2020-01-01"
 LOCATIONS = {
-    "9": "Avonturenboerderij Molenwaard",
-    "28": "Avonturenpark De Tovertuin",
-    "10": "Familie Resort Molenwaard",
-    "29": "Familie Resort De Tovertuin",
+    "9": ("Avonturenboerderij Molenwaard", "park"),
+    "28": ("Avonturenpark De Tovertuin", "park"),
+    "10": ("Familie Resort Molenwaard", "resort"),
+    "29": ("Familie Resort De Tovertuin", "resort"),
 }
-LOCATION_TYPES = {"9": "park", "28": "park", "10": "resort", "29": "resort"}
 UNKNOWN_TYPE = "onbekend"
 
 
@@ -85,8 +84,7 @@ def feedback_submissions(
     df: DataFrame,
     *,
     as_of: Column | str | dt.date | None = None,
-    locations: Mapping[str, str] = LOCATIONS,
-    location_types: Mapping[str, str] = LOCATION_TYPES,
+    locations: Mapping[str, tuple[str, str]] = LOCATIONS,
 ) -> DataFrame:
     """Scored survey answers.
 
@@ -97,6 +95,8 @@ def feedback_submissions(
         F.col("properties.hs_response_group").isin(*SCORED_GROUPS)
     )
     survey = F.col("properties.hs_survey_id")
+    names = {number: name for number, (name, _) in locations.items()}
+    types = {number: kind for number, (_, kind) in locations.items()}
     visits = [parse_date("properties.sv_abm_visitdate"), parse_date("properties.sv_ap_dtt_visitedate")]
     submitted = "properties.hs_submission_timestamp"
     first, last = F.lit(FIRST_SANE_DATE).cast("date"), F.date_add(as_of_date(as_of), 1)
@@ -106,8 +106,8 @@ def feedback_submissions(
             "Id": "id",
             "SurveyId": parse_int(survey),
             "SurveyNaam": "properties.hs_survey_name",
-            "Locatie": lookup(survey, locations, default=F.col("properties.hs_survey_name")),
-            "LocatieType": lookup(survey, location_types, default=UNKNOWN_TYPE),
+            "Locatie": lookup(survey, names, default=F.col("properties.hs_survey_name")),
+            "LocatieType": lookup(survey, types, default=UNKNOWN_TYPE),
             "Score": parse_int("properties.hs_value"),
             "Groep": "properties.hs_response_group",
             "Datum": preferred_date(visits, instant_date(submitted), first, last),

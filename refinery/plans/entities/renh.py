@@ -171,21 +171,6 @@ SHOP_COLUMNS = {
     "DivisionCodeExactOnline": "DivisionCodeExactOnline",
     "ArtikelenMuterenIsToegestaan": "ArtikelenMuterenIsToegestaan",
 }
-LINE_KEYS = {
-    "PLU": "item.plu",
-    "Omschrijving": "item.text",
-    "GewichtArtikel": "item.gewichtartikel",
-    "Prijs": "item.price",
-    "Korting": "item.korting",
-    "Scancode": "item.scancode",
-    "SubgroepNr": "item.subgroep",
-    "HoofdgroepNr": "item.hoofdgroep",
-    "AfdelingNr": "item.afdeling",
-    "OmzetSoortNr": "item.omzetsoort",
-    "BTWCode": "item.tax",
-    "BTWPercentage": "item.taxperc",
-    "ActieOmzet": "item.actieomzet",
-}
 LINE_SUMS = {
     "Aantal": "item.count",
     "Gewicht": "item.gewicht",
@@ -267,21 +252,23 @@ def day_turnover_lines(df: DataFrame) -> DataFrame:
         ),
         BRANCH: BRANCH,
         "Datum": parse_date("Transaction.time"),
-        **LINE_KEYS,
+        "PLU": "item.plu",
+        "Omschrijving": "item.text",
+        "GewichtArtikel": "item.gewichtartikel",
+        "Prijs": "item.price",
+        "Korting": "item.korting",
+        "Scancode": "item.scancode",
         "FK_Subgroepen_Id": foreign_key(BRANCH, "item.subgroep"),
+        "SubgroepNr": "item.subgroep",
         "FK_Hoofdgroepen_Id": foreign_key(BRANCH, "item.hoofdgroep"),
+        "HoofdgroepNr": "item.hoofdgroep",
+        "AfdelingNr": "item.afdeling",
+        "OmzetSoortNr": "item.omzetsoort",
+        "BTWCode": "item.tax",
+        "BTWPercentage": "item.taxperc",
+        "ActieOmzet": "item.actieomzet",
     }
-    lines = rollup_lines(df, keys, LINE_SUMS, arrays={"item": "Transaction.Ordered"})
-    return lines.select(*LINE_ORDER)
-
-
-# The column order of receipt lines.
-LINE_ORDER = [
-    "FK_DagOmzetTransacties_Id", BRANCH, "Datum", "PLU", "Omschrijving", "GewichtArtikel", "Prijs", "Korting",
-    "Scancode", "FK_Subgroepen_Id", "SubgroepNr", "FK_Hoofdgroepen_Id", "HoofdgroepNr", "AfdelingNr",
-    "OmzetSoortNr", "BTWCode", "BTWPercentage", "ActieOmzet", "Aantal", "Gewicht", "BrutoVerkoopwaarde",
-    "Verkoopwaarde", "Inkoopwaarde",
-]
+    return rollup_lines(df, keys, LINE_SUMS, arrays={"item": "Transaction.Ordered"})
 
 
 def _keyed(refine: Callable[..., DataFrame], keys: dict[str, str], **options: bool) -> dict[str, Entity]:
