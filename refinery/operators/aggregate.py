@@ -57,7 +57,13 @@ def line_sum(value: ColumnLike, type_: T.DataType) -> Column:
         return F.sum(column)
     column = column.cast("double")
     near = column.try_cast("decimal(28,6)")
-    rest = (column - near.cast("double")).try_cast("decimal(38,30)")
+
+    def beyond_six_digits(scale: int) -> Column:
+        digits = f"decimal(38,{scale})"
+        return (column.try_cast(digits) - near.try_cast(digits)).try_cast("decimal(38,30)")
+
+    # Numbers from 1e8 on have no digits beyond the fifteenth.
+    rest = F.coalesce(beyond_six_digits(30), beyond_six_digits(15))
     high, low = F.try_sum(near), F.try_sum(rest)
     # Added as decimals where both fit, so that the total is rounded once.
     joined = (high.try_cast("decimal(38,18)") + low.try_cast("decimal(38,18)")).cast("double")

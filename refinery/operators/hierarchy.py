@@ -5,28 +5,41 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from refinery.functions._columns import ColumnLike
+from refinery.operators.names import free_prefix
 from refinery.operators.project import project
 
 _SEEN = ("node", "parent", "level")
 
 
+def _depth(schema: T.StructType, groups: str) -> int:
+    """How many levels of structs the field ``groups`` nests."""
+    levels, names = 0, {field.name.lower(): field.dataType for field in schema.fields}
+    while True:
+        kind = names.get(groups.lower())
+        if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)):
+            return levels
+        levels += 1
+        names = {field.name.lower(): field.dataType for field in kind.elementType.fields}
+
+
 def flatten_tree(
     df: DataFrame,
     columns: Mapping[str, ColumnLike],
     *,
     fields: Sequence[str],
     groups: str,
-    depth: int,
+    depth: int | None = None,
     leaves: str | None = None,
     id_field: str = "id",
     orphans: bool = False,
 ) -> DataFrame:
     """One distinct row per node of the trees in ``df``, root rows included.
 
-    Each row of ``df`` is a root. ``groups`` is the field with its child nodes, which nest to
-    ``depth`` levels below the root; ``leaves`` is a second field of children, found in the
+    Each row of ``df`` is a root. ``groups`` is the field with its child nodes, which nest as deep
+    below the root as its type says; a ``depth`` that is given must not be less. ``leaves`` is a second field of children, found in the
     root and in every group, that do not nest further.
 
     ``columns`` is the projection. It sees the root row's own columns, ``node.<field>`` and
@@ -43,49 +56,57 @@ def flatten_tree(
     clash = {column.lower() for column in own} & set(_SEEN)
     if clash:
         raise ValueError(f"{sorted(clash)} are columns of the root already; rename them")
+    nested = _depth(df.schema, groups)
+    if depth is None:
+        depth = nested
+    elif depth < nested:
+        raise ValueError(f"{groups} nests {nested} levels deep, not {depth}; deeper nodes would be lost")
+    depth = min(depth, nested)
+    mark = free_prefix(own)
     carried = list(dict.fromkeys([id_field, *fields]))
-    arrays = {"_groups": groups, "_leaves": leaves} if leaves else {"_groups": groups}
+    arrays = {f"{mark}groups": groups, f"{mark}leaves": leaves} if leaves else {f"{mark}groups": groups}
     tree = df.selectExpr(
         "*",
-        *[f"`{field}` as `_node_{field}`" for field in carried],
-        *[f"case when false then `{field}` end as `_parent_{field}`" for field in carried],
-        "0 as _level",
+        *[f"`{field}` as `{mark}node_{field}`" for field in carried],
+        *[f"case when false then `{field}` end as `{mark}parent_{field}`" for field in carried],
+        f"0 as {mark}level",
         *[f"`{field}` as {array}" for array, field in arrays.items()],
     )
 
     def descend(array: str, following: Mapping[str, str], known: str) -> DataFrame:
         """Every row once for itself and once for each child in ``array``; ``following`` says
         what becomes of the arrays."""
-        spread = tree.selectExpr("*", f"posexplode(concat(array(null), coalesce({array}, array()))) as (_at, _child)")
-        return spread.filter(f"_at = 0 or {known} is not null").selectExpr(
+        both = f"concat(array(null), coalesce({array}, array()))"
+        spread = tree.selectExpr("*", f"posexplode({both}) as ({mark}at, {mark}child)")
+        return spread.filter(f"{mark}at = 0 or {known} is not null").selectExpr(
             *[f"`{column}`" for column in own],
-            *[f"case when _at > 0 then _child.`{x}` else `_node_{x}` end as `_node_{x}`" for x in carried],
-            *[f"case when _at > 0 then `_node_{x}` else `_parent_{x}` end as `_parent_{x}`" for x in carried],
-            "case when _at > 0 then _level + 1 else _level end as _level",
+            *[f"if({mark}at > 0, {mark}child.`{x}`, `{mark}node_{x}`) as `{mark}node_{x}`" for x in carried],
+            *[f"if({mark}at > 0, `{mark}node_{x}`, `{mark}parent_{x}`) as `{mark}parent_{x}`" for x in carried],
+            f"case when {mark}at > 0 then {mark}level + 1 else {mark}level end as {mark}level",
             *[f"{following[name]} as {name}" for name in arrays],
         )
 
-    child_id = f"_child.`{id_field}`"
+    child_id = f"{mark}child.`{id_field}`"
     for level in range(depth + 1):
         if leaves:
             # A leaf has nothing below it; the row itself still has its groups.
-            rest = {"_groups": "case when _at = 0 then _groups end", "_leaves": "null"}
-            tree = descend("_leaves", rest, known=child_id)
+            rest = {f"{mark}groups": f"case when {mark}at = 0 then {mark}groups end", f"{mark}leaves": "null"}
+            tree = descend(f"{mark}leaves", rest, known=child_id)
         if level < depth:
             # A group brings its own arrays; the row itself is done.
             last = level + 1 == depth
-            inner = {array: f"_child.`{field}`" for array, field in arrays.items()}
+            inner = {array: f"{mark}child.`{field}`" for array, field in arrays.items()}
             tree = descend(
-                "_groups",
-                {**inner, "_groups": "null"} if last else inner,
-                known="_child" if orphans else child_id,
+                f"{mark}groups",
+                {**inner, f"{mark}groups": "null"} if last else inner,
+                known=f"{mark}child" if orphans else child_id,
             )
 
     def as_struct(kind: str) -> str:
-        pairs = [f"'{field}', `_{kind}_{field}`" for field in carried]
+        pairs = [f"'{field}', `{mark}{kind}_{field}`" for field in carried]
         return f"named_struct({', '.join(pairs)}) as {kind}"
 
-    named = tree.filter(f"_level = 0 or `_node_{id_field}` is not null").selectExpr(
-        *[f"`{column}`" for column in own], as_struct("node"), as_struct("parent"), "_level as level"
+    named = tree.filter(f"{mark}level = 0 or `{mark}node_{id_field}` is not null").selectExpr(
+        *[f"`{column}`" for column in own], as_struct("node"), as_struct("parent"), f"{mark}level as level"
     )
     return project(named, columns).distinct()

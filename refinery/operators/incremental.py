@@ -28,9 +28,16 @@ def incremental(df: DataFrame, column: str, low: Any, lookback: Any = None) -> D
     return df.filter(F.col(column) > F.lit(text_or_number).cast(df.schema[column].dataType))
 
 
-def next_watermark(df: DataFrame, column: str, name: str = "watermark") -> DataFrame:
-    """The highest value of the column, as a frame of one row to be kept for the next run."""
-    return df.agg(F.max(column).alias(name))
+def next_watermark(df: DataFrame, column: str, name: str = "watermark", *, low: Any = None) -> DataFrame:
+    """The highest value of the column, as a frame of one row to be kept for the next run.
+
+    ``low`` is the value kept from the last run: it stays if nothing newer has come.
+    """
+    highest = F.max(column)
+    if low is not None:
+        kept = F.lit(low if isinstance(low, (int, float)) else str(low)).cast(df.schema[column].dataType)
+        highest = F.coalesce(F.greatest(highest, kept), kept)
+    return df.agg(highest.alias(name))
 
 
 def upsert(
@@ -40,14 +47,19 @@ def upsert(
     order_by: ColumnLike,
     *,
     tie_break: Sequence[ColumnLike] | None = None,
+    null_keys: str = "keep",
 ) -> DataFrame:
     """The target with the newest update of each key put in the place of its old rows.
 
-    A key with a NULL in it matches nothing: such rows stay, on both sides. Of the updates
-    only distinct keys take part in the join (see ``distinct_keys`` for hot ones).
+    A key with a NULL in it matches nothing, so rows of the target without key stay. Those of the
+    updates are appended, and again on every repeated run; ``null_keys="drop"`` leaves them out,
+    which makes a run repeatable. The updates are cut to the newest of each key once; the keys
+    that take part in the join are those of the outcome (see ``distinct_keys`` for hot ones).
     """
-    newest = latest_per_key(updates, keys, order_by, tie_break=tie_break, null_keys="keep")
-    changed = distinct_keys(updates, {key: key for key in keys})
+    if null_keys not in ("keep", "drop"):
+        raise ValueError(f"null_keys must be 'keep' or 'drop', not {null_keys!r}")
+    newest = latest_per_key(updates, keys, order_by, tie_break=tie_break, null_keys=null_keys)
+    changed = distinct_keys(newest, {key: key for key in keys})
     return target.join(changed, list(keys), "left_anti").select(*target.columns).unionByName(newest)
 
 
@@ -58,7 +70,7 @@ def scd2(
     ts: str,
     *,
     tie_break: Sequence[str] = (),
-    time_slice: str = "day",
+    slices: int | None = None,
 ) -> DataFrame:
     """The history of each key: one row per run of unchanged ``tracked`` values.
 
@@ -66,10 +78,11 @@ def scd2(
     ``is_current``. Rows are ordered by ``ts``, then ``tie_break``, which should leave no ties
     between different values.
 
-    A key is never handled as one group. Its rows are cut into time slices (any unit of
-    ``date_trunc``: finer for keys that are very busy, coarser if all keys are quiet), and the
-    starts of runs are found slice by slice. Only the first and the last start of each slice
-    then meet those of the key's other slices.
+    A key is never handled as one group. All rows are put in order by key and time and cut into
+    ``slices`` of about equal size (by default as many as the session shuffles into), so a slice is
+    no larger for a key that holds a third of all rows, even within an instant of ``tie_break``
+    values. The starts of runs are found slice by slice; only the first and the last start of each
+    slice then meet those of the key's other slices.
     """
     order = [ts, *tie_break]
     at = F.struct(*order)
@@ -80,8 +93,10 @@ def scd2(
         return reduce(and_, same, F.lag(F.lit(True)).over(window).isNotNull())
 
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    rows = changes.select(*dict.fromkeys([*keys, *tracked, *order]))
+    in_order = rows.repartitionByRange(*([slices] if slices else []), *keys, *order)
     starts = (
-        changes.select(*dict.fromkeys([*keys, *tracked, *order]), F.date_trunc(time_slice, ts).alias("_slice"))
+        in_order.withColumn("_slice", F.spark_partition_id())
         .withColumn("_unchanged", unchanged(in_slice))
         .filter(~F.col("_unchanged"))
         .withColumns({"_first": F.row_number().over(in_slice) == 1, "_next": F.lead(at).over(in_slice)})

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.functions._columns import ColumnLike, as_column
+from refinery.operators.names import free_name
 
 
 def _orderable(type_: T.DataType) -> bool:
@@ -57,5 +58,6 @@ def latest_per_key(
     order = Window.partitionBy(*key_columns).orderBy(
         as_column(order_by).desc_nulls_last(), *[tie.asc_nulls_last() for tie in ties]
     )
-    latest = ranked.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    rank = free_name(df, "_rank")
+    latest = ranked.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)
     return latest if loose is None else latest.unionByName(loose)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions._columns import ColumnLike, as_column
 from refinery.functions.values import flag
+from refinery.operators.names import free_name
 
 
 def distinct_keys(df: DataFrame, keys: Mapping[str, ColumnLike]) -> DataFrame:
@@ -36,9 +37,10 @@ def has_children(
     own = flag(as_column(key).isNotNull() & (F.size(as_column(array)) > 0))
     if unique_key:
         return df.withColumn(name, own)
-    parents = distinct_keys(df.filter(own), {"_parent": key})
-    joined = df.join(parents, as_column(key) == F.col("_parent"), "left")
-    return joined.withColumn(name, F.col("_parent").isNotNull()).drop("_parent")
+    parent = free_name(df, "_parent")
+    parents = distinct_keys(df.filter(own), {parent: key})
+    joined = df.join(parents, as_column(key) == F.col(parent), "left")
+    return joined.withColumn(name, F.col(parent).isNotNull()).drop(parent)
 
 
 def with_parent(
@@ -59,14 +61,15 @@ def with_parent(
     Spark, which knows its size; beyond the threshold it is a sort-merge join in which adaptive
     execution splits hot parents and the NULL parent.
     """
-    parents = df.select(as_column(key).alias("_key"), as_column(name).alias("_name"))
-    parents = parents.filter(F.col("_key").isNotNull())
+    above, title = free_name(df, "_key"), free_name(df, "_name")
+    parents = df.select(as_column(key).alias(above), as_column(name).alias(title))
+    parents = parents.filter(F.col(above).isNotNull())
     if not unique_key:
         parents = parents.distinct()
-    joined = df.join(parents, as_column(parent_key) == F.col("_key"), "left")
+    joined = df.join(parents, as_column(parent_key) == F.col(above), "left")
     return joined.withColumns(
-        {parent_key_name: F.col("_key"), parent_name: F.coalesce(F.col("_name"), as_column(name))}
-    ).drop("_key", "_name")
+        {parent_key_name: F.col(above), parent_name: F.coalesce(F.col(title), as_column(name))}
+    ).drop(above, title)
 
 
 def lookup_join(
@@ -83,7 +86,8 @@ def lookup_join(
 
     The dictionary must hold each code once. Unknown codes take ``default``.
     """
-    entries = dimension.select(F.col(code).alias("_code"), F.col(label).alias("_label"))
-    joined = df.join(entries, as_column(on) == F.col("_code"), "left")
-    found = F.col("_label") if default is None else F.coalesce(F.col("_label"), default)
-    return joined.withColumn(name, found).drop("_code", "_label")
+    known, said = free_name(df, "_code"), free_name(df, "_label")
+    entries = dimension.select(F.col(code).alias(known), F.col(label).alias(said))
+    joined = df.join(entries, as_column(on) == F.col(known), "left")
+    found = F.col(said) if default is None else F.coalesce(F.col(said), default)
+    return joined.withColumn(name, found).drop(known, said)

@@ -71,10 +71,10 @@ def visits(spark: SparkSession, folder: str) -> DataFrame:
 # --- sources -------------------------------------------------------------------------------
 
 
-@query("table_read", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+@query("table_read", "SELECT o_orderkey, o_orderstatus FROM orders")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     orders = sources.read_table(spark, f"{folder}/orders.parquet")
-    return orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus")
+    return orders.select("o_orderkey", "o_orderstatus")
 
 
 @query(
@@ -313,14 +313,19 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "dimension_lookup",
-    """SELECT l_orderkey, l_linenumber, l_partkey, coalesce(p_type, 'unknown') AS part_type
-       FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND p_size > 5""",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 5 THEN -l_partkey ELSE l_partkey END AS part,
+              coalesce(p_type, 'unknown') AS part_type
+       FROM lineitem
+       LEFT JOIN part ON p_partkey = CASE WHEN l_linenumber > 5 THEN -l_partkey ELSE l_partkey END""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     labelled = op.lookup_join(
-        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"),
-        table(spark, folder, "part").filter("p_size > 5"),
-        on="l_partkey",
+        # Late lines carry a code that no part has.
+        table(spark, folder, "lineitem").selectExpr(
+            "l_orderkey", "l_linenumber", "if(l_linenumber > 5, -l_partkey, l_partkey) as part"
+        ),
+        table(spark, folder, "part"),
+        on="part",
         code="p_partkey",
         label="p_type",
         name="part_type",
@@ -680,6 +685,20 @@ query(
 )(line_rollup)
 
 
+# Amounts with ten decimals: nothing may be rounded before it is added.
+@query(
+    "fine_line_rollup",
+    """SELECT l_suppkey, CAST(sum(CAST(l_extendedprice * 0.0000000001 AS DECIMAL(38, 18))) AS DOUBLE) AS amount
+       FROM (SELECT l_suppkey, CAST(l_extendedprice * 100 AS DECIMAL(20, 0)) * 0.01 AS l_extendedprice FROM lineitem)
+       GROUP BY l_suppkey""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    fine = table(spark, folder, "lineitem").selectExpr(
+        "l_suppkey", "cast(cast(l_extendedprice as decimal(20, 2)) * 0.0000000001 as double) as amount"
+    )
+    return op.rollup_lines(fine, {"l_suppkey": "l_suppkey"}, {"amount": "amount"})
+
+
 @query(
     "wide_key_consolidation",
     """SELECT l_returnflag, l_linestatus, l_linenumber, l_suppkey, l_discount, l_tax, CAST(l_shipdate AS DATE) AS day,

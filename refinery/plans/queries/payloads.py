@@ -176,4 +176,5 @@ def numbered(item: str, variable: str, most: int, count: str) -> str:
     expressions and interprets lambdas.
     """
     items = [re.sub(rf"\b{variable}\b", str(number), item) for number in range(1, most + 1)]
-    return f"slice(array({', '.join(items)}), 1, cast({count} as int))"
+    too_many = f"raise_error(concat('more than {most} items: ', {count}))"
+    return f"slice(array({', '.join(items)}), 1, if({count} > {most}, cast({too_many} as int), cast({count} as int)))"

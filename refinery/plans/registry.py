@@ -32,7 +32,10 @@ ENTITIES: dict[str, Entity] = {
 
 
 def schema_for(payload: str) -> T.StructType:
-    """The declared schema of ``source.payload``, or of the payload of an entity."""
+    """The declared schema of ``source.payload``, or of the payload of an entity.
+
+    Spark parses the declaration, so a session must be active.
+    """
     name = payload if payload in SCHEMAS or payload not in ENTITIES else payload_of(payload)
     if name not in SCHEMAS:
         raise KeyError(f"{payload} declares no schema; it is read with the schema of its source")

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Adaptive execution merges shuffle partitions but never cuts them finer, so it starts from many.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     # Beyond 8000 bytes of bytecode the JVM interprets a method instead of compiling it, which
     # makes wide projections several times slower; Spark then generates smaller methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -41,7 +43,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="refinery-")
         spark.conf.set("spark.checkpoint.dir", root)

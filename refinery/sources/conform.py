@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared fields, in order: missing ones NULL, undeclared ones dropped.
 
-    Goes into structs and arrays. Values that do not fit the declared type become NULL.
+    Goes into structs, arrays and maps, and JSON text declared as any of these is parsed. Values that
+    do not fit the declared type become NULL; a map entry whose key does not fit is dropped, and of
+    keys that become equal the last entry stands.
     """
     return df.select(
         *[
@@ -44,9 +46,25 @@ def _fit(value: Column, given: T.DataType, wanted: T.DataType) -> Column:
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType):
         return F.transform(value, lambda item: _fit(item, given.elementType, wanted.elementType))
+    if isinstance(given, T.MapType) and isinstance(wanted, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda entry: F.struct(
+                _fit(entry["key"], given.keyType, wanted.keyType).alias("key"),
+                _fit(entry["value"], given.valueType, wanted.valueType).alias("value"),
+            ),
+        )
+        known = F.filter(entries, lambda entry: entry["key"].isNotNull())
+        if given.keyType == wanted.keyType:
+            return F.map_from_entries(known)
+        keys = F.transform(known, lambda entry: entry["key"])
+        last = F.filter(
+            known, lambda entry, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys) + 1), entry["key"])
+        )
+        return F.map_from_entries(last)
     if isinstance(given, (T.StructType, T.ArrayType, T.MapType)):
         # A record that is deeper than declared is kept as text.
         return F.to_json(value) if isinstance(wanted, T.StringType) else F.lit(None).cast(wanted)
     if isinstance(wanted, (T.StructType, T.ArrayType, T.MapType)):
-        return F.lit(None).cast(wanted)
+        return F.from_json(value, wanted) if isinstance(given, T.StringType) else F.lit(None).cast(wanted)
     return value.try_cast(wanted)

@@ -160,3 +160,11 @@ def test_as_of_defaults_to_today(spark):
         spark, fn.as_of_date("2024-02-03"), fn.as_of_date(F.lit("2024-02-03")), fn.as_of_date() == F.current_date()
     )
     assert (given, column, today) == (dt.date(2024, 2, 3), dt.date(2024, 2, 3), True)
+
+
+@pytest.mark.parametrize("size", [3, 16, 17, 200])
+def test_lookup_answers_alike_at_every_size(spark, size):
+    mapping = {number: f"label {number}" for number in range(1, size)} | {0: None}
+    df = spark.createDataFrame([("0",), ("1",), ("2",), ("999",), (None,)], "code string")
+    found = {row.code: row.label for row in df.select("code", fn.lookup("code", mapping, default="other").alias("label")).collect()}
+    assert found == {"0": None, "1": "label 1", "2": "label 2", "999": "other", None: "other"}

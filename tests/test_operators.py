@@ -131,10 +131,14 @@ def test_tree_with_leaves_and_orphans(spark):
     }
     strict = op.flatten_tree(df, NODE, fields=["name"], groups="groups", leaves="leaves", depth=2)
     assert set(rows(strict)) == shared | {(2, "leaf", 1, 1), (100, "gg", 2, 10), (1000, "leaf", 3, 100)}
-    flat = op.flatten_tree(df, NODE, fields=["name"], groups="groups", depth=1)
-    assert set(rows(flat)) == shared
+    flat = op.flatten_tree(df, NODE, fields=["name"], groups="groups")
+    assert set(rows(flat)) == shared | {(100, "gg", 2, 10)}
+    with pytest.raises(ValueError, match="lost"):
+        op.flatten_tree(df, NODE, fields=["name"], groups="groups", depth=1)
     with pytest.raises(ValueError, match="rename"):
-        op.flatten_tree(df.withColumn("Level", F.lit(1)), NODE, fields=["name"], groups="groups", depth=1)
+        op.flatten_tree(df.withColumn("Level", F.lit(1)), NODE, fields=["name"], groups="groups")
+    own = df.withColumn("_level", F.lit(7)).withColumn("_groups", F.lit(7)).withColumn("_at", F.lit(7))
+    assert set(rows(op.flatten_tree(own, NODE, fields=["name"], groups="groups"))) == set(rows(flat))
 
 
 def test_tree_node_reached_twice_is_one_row(spark):
@@ -298,6 +302,9 @@ def test_incremental_and_watermark(spark):
     assert sorted(row.n for row in op.incremental(df, "n", 7, lookback=2).collect()) == [6, 7, 8, 9]
     assert op.incremental(df, "n", None).count() == 10
     assert op.next_watermark(df, "n").first().watermark == 9
+    assert op.next_watermark(df.where("n < 5"), "n", low=7).first().watermark == 7
+    assert op.next_watermark(df.where("false"), "n", low=7).first().watermark == 7
+    assert op.next_watermark(df, "n", low=7).first().watermark == 9
 
 
 def test_upsert_replaces_and_adds(spark):
@@ -311,6 +318,53 @@ def test_upsert_replaces_and_adds(spark):
         (None, 7): 1,
         (None, 8): 1,
     }
+    once = op.upsert(target, updates, ["k"], "v", null_keys="drop")
+    assert rows(op.upsert(once, updates, ["k"], "v", null_keys="drop")) == rows(once)
+    with pytest.raises(ValueError, match="null_keys"):
+        op.upsert(target, updates, ["k"], "v", null_keys="collapse")
+
+
+def test_helper_columns_give_way(spark):
+    df = spark.createDataFrame([(1, None, "a", 5), (2, 1, "b", 6)], "id int, up int, name string, v int")
+    own = df.selectExpr("*", *(f"'own' as {n}" for n in ("_rank", "_parent", "_key", "_name", "_code", "_label")))
+    latest = op.latest_per_key(own, ["id"], "v")
+    assert latest.columns == own.columns and latest.where("_rank = 'own'").count() == 2
+    flagged = op.has_children(own.withColumn("kids", F.array("v")), "id", "kids", "has")
+    assert flagged.where("has and _parent = 'own'").count() == 2
+    related = op.with_parent(own, key="id", parent_key="up", name="name")
+    assert {(r.id, r.parent_key, r.parent_name, r._key, r._name) for r in related.collect()} == {
+        (1, None, "a", "own", "own"), (2, 1, "a", "own", "own")
+    }
+    labelled = op.lookup_join(own, df, on="up", code="id", label="name", name="title")
+    assert {(r.id, r.title, r._code, r._label) for r in labelled.collect()} == {(1, None, "own", "own"), (2, "a", "own", "own")}
+
+
+def test_lines_are_not_rounded_before_they_are_added(spark):
+    small = spark.range(1000).selectExpr("1 as k", "1e-7 as v")
+    assert op.rollup_lines(small, {"k": "k"}, {"v": "v"}).first().v == 1e-4
+    three = spark.range(3).selectExpr("1 as k", "0.1234567D as v")
+    assert op.rollup_lines(three, {"k": "k"}, {"v": "v"}).first().v == 0.3703701
+    huge = spark.range(4).selectExpr("1 as k", "if(id = 3, 0.5D, 1e30D) as v")
+    assert op.rollup_lines(huge, {"k": "k"}, {"v": "v"}).first().v == pytest.approx(3e30)
+    odd = spark.createDataFrame([(1, float("nan")), (1, 1.0), (2, None), (3, 2.5), (3, None)], "k int, v double")
+    found = {r.k: r.v for r in op.rollup_lines(odd, {"k": "k"}, {"v": "v"}).collect()}
+    assert str(found[1]) == "nan" and found[2] is None and found[3] == 2.5
+
+
+def test_buckets_can_be_added(spark):
+    df = spark.createDataFrame([(1, [(0, 2), (0, 3), (1, None)]), (2, None)], "id int, a array<struct<b: int, n: int>>")
+    sums = op.bucket_columns("a", "b", "n", {0: "zero", 1: "one"}, pick="sum")
+    assert rows(df.select("id", *(c.alias(n) for n, c in sums.items()))) == {(1, 5.0, None): 1, (2, None, None): 1}
+
+
+def test_conform_fits_maps_and_json(spark):
+    df = spark.sql("select map('1', 2, 'x', 3) as m, '{\"a\": 5}' as s, 'junk' as t, map('a', map(1, 2)) as deep")
+    wanted = "m map<bigint, bigint>, s struct<a: int>, t struct<a: int>, deep map<string, map<bigint, double>>"
+    fitted = conform(df, T.StructType.fromDDL(wanted))
+    row = fitted.first()
+    assert fitted.schema["m"].dataType.simpleString() == "map<bigint,bigint>"
+    assert row.m == {1: 2} and row.s.a == 5 and row.deep == {"a": {1: 2.0}}
+    assert row.t is None or row.t.a is None
 
 
 def test_history_spans_slices(spark):
@@ -334,8 +388,23 @@ def test_history_spans_slices(spark):
         ("b", "x", at(3), None, True): 1,
         (None, "x", at(1), None, True): 1,
     }
-    for unit in ("hour", "day", "year"):
-        assert rows(op.scd2(df, ["k"], ["s"], "t", time_slice=unit)) == expected
+    for slices in (None, 1, 3, 12):
+        assert rows(op.scd2(df, ["k"], ["s"], "t", slices=slices)) == expected
+
+
+def test_history_of_a_hot_key_in_one_instant(spark):
+    """A third of all rows share a key and a second; the slices must not share that fate."""
+    df = spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, -1, id) as k",
+        "cast(id div 60 % 2 as string) as s",
+        "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, if(id % 3 = 0, 0, id) / 1000) as t",
+        "id as n",
+    )
+    runs = op.scd2(df, ["k"], ["s"], "t", tie_break=["n"], slices=30)
+    assert runs.where("k = -1").count() == 500
+    assert runs.where("is_current").count() == 20_001
+    rows_of_slice = df.repartitionByRange(30, "k", "t", "n").groupBy(F.spark_partition_id()).count()
+    assert rows_of_slice.agg(F.max("count")).first()[0] < 3_000
 
 
 # --- sources and sinks ----------------------------------------------------------------------
