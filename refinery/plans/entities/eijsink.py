@@ -187,8 +187,53 @@ def turnover_groups(df: DataFrame) -> DataFrame:
 
 ENTITIES = {
     "orders": Entity(orders),
-    "sales_items": Entity(sales_items, payload="orders"),
-    "payment_items": Entity(payment_items, payload="orders"),
+    "sales_items": Entity(
+        sales_items,
+        payload="orders",
+        reads=(
+            "id",
+            "salesItems.id",
+            "salesItems.turnoverGroups",
+            "salesItems.salesItemType",
+            "salesItems.course.name",
+            "salesItems.user.name",
+            "salesItems.createdAt",
+            "salesItems.workDay",
+            "salesItems.product",
+            "salesItems.userShiftId",
+            "salesItems.itemCount",
+            "salesItems.price.value",
+            "salesItems.price.currency",
+            "salesItems.price.includeVAT",
+            "salesItems.price.VAT.id",
+            "salesItems.price.VAT.percentage",
+            "salesItems.netAmount.inclVAT",
+            "salesItems.netAmount.exclVAT",
+            "salesItems.netAmount.VAT",
+            "salesItems.grossAmount.inclVAT",
+            "salesItems.grossAmount.exclVAT",
+            "salesItems.grossAmount.VAT",
+            "salesItems.productGroups",
+        ),
+    ),
+    "payment_items": Entity(
+        payment_items,
+        payload="orders",
+        reads=(
+            "id",
+            "paymentItems.id",
+            "paymentItems.user.name",
+            "paymentItems.createdAt",
+            "paymentItems.workDay",
+            "paymentItems.amount",
+            "paymentItems.currency",
+            "paymentItems.shiftId",
+            "paymentItems.payment.externalId",
+            "paymentItems.payment.amount",
+            "paymentItems.payment.method",
+            "paymentItems.payment.methodType.name",
+        ),
+    ),
     "salespoints": Entity(salespoints, rowwise=False),
     "stores": Entity(stores),
     "turnover_groups": Entity(turnover_groups, rowwise=False),

@@ -194,6 +194,42 @@ ENTITIES = {
     "booking": Entity(bookings, rowwise=False),
     "person": Entity(persons, payload="booking"),
     "guest": Entity(guests, payload="booking"),
-    "booking_rule": Entity(booking_rules, payload="booking"),
-    "item_rule": Entity(item_rules, payload="booking", rowwise=False),
+    "booking_rule": Entity(
+        booking_rules,
+        payload="booking",
+        reads=(
+            "id",
+            "booking_rules.id",
+            "booking_rules.accommodation_id",
+            "booking_rules.accommodation",
+            "booking_rules.accommodation_group_id",
+            "booking_rules.accommodation_group",
+            "booking_rules.location",
+            "booking_rules.arrangement",
+            "booking_rules.arrival_time",
+            "booking_rules.departure_time",
+            "booking_rules.total",
+            "booking_rules.cost_of_stay",
+            "booking_rules.cost_of_discount",
+            "booking_rules.age_categories.from",
+            "booking_rules.age_categories.persons",
+        ),
+    ),
+    "item_rule": Entity(
+        item_rules,
+        payload="booking",
+        rowwise=False,
+        reads=(
+            "id",
+            "item_rules.id",
+            "item_rules.name",
+            "item_rules.accommodation_id",
+            "item_rules.location_id",
+            "item_rules.from",
+            "item_rules.till",
+            "item_rules.amount",
+            "item_rules.price",
+            "item_rules.price_excluding_vat",
+        ),
+    ),
 }

@@ -673,9 +673,9 @@ add("tomm.item_rule", from_table("orders", BOOKING_KEYS, f"{ITEMS.array()} as it
 
 @CATALOG.add(
     "refine_all_landed",
-    f"""SELECT 'guest' AS entity, FK_Boeking_Id AS booking, count(*) AS n
-        FROM ({CATALOG.queries["tomm_guest"].oracle}) GROUP BY ALL
-        UNION ALL SELECT 'item_rule', FK_Boeking_Id, count(*) FROM ({ITEM_ORACLE}) GROUP BY ALL""",
+    f"""SELECT 'guest' AS entity, FK_Boeking_Id AS booking, Id AS id
+        FROM ({CATALOG.queries["tomm_guest"].oracle})
+        UNION ALL SELECT 'item_rule', FK_Boeking_Id, Id FROM ({ITEM_ORACLE})""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """One payload, fitted to its schema and landed once, refined into several tables."""
@@ -684,9 +684,10 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
     landing = work_folder(spark, "bookings")
     refined = registry.refine_all(payload, ["tomm.guest", "tomm.item_rule"], landing=landing)
-    counts = [
-        frame.groupBy(F.lit(name.removeprefix("tomm.")).alias("entity"), F.col("FK_Boeking_Id").alias("booking"))
-        .agg(F.count("*").alias("n"))
+    rows = [
+        frame.select(
+            F.lit(name.removeprefix("tomm.")).alias("entity"), F.col("FK_Boeking_Id").alias("booking"), F.col("Id").alias("id")
+        )
         for name, frame in refined.items()
     ]
-    return counts[0].unionByName(counts[1])
+    return rows[0].unionByName(rows[1])

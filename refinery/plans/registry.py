@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from refinery.plans.entities import dip, dyflexis, eijsink, hubspot, renh, taxi, ticketcounter, tomm
 from refinery.plans.entities.entity import Entity
-from refinery.sources import conform, land
+from refinery.sources import conform, land, narrowed
 
 SOURCES = {
     "dip": dip,
@@ -31,15 +31,18 @@ ENTITIES: dict[str, Entity] = {
 }
 
 
-def schema_for(payload: str) -> T.StructType:
+def schema_for(payload: str, *, narrow: bool = False) -> T.StructType:
     """The declared schema of ``source.payload``, or of the payload of an entity.
 
-    Spark parses the declaration, so a session must be active.
+    Spark parses the declaration, so a session must be active. ``narrow`` leaves out what the entity
+    does not use.
     """
     name = payload if payload in SCHEMAS or payload not in ENTITIES else payload_of(payload)
     if name not in SCHEMAS:
         raise KeyError(f"{payload} declares no schema; it is read with the schema of its source")
-    return T.StructType.fromDDL(SCHEMAS[name])
+    schema = T.StructType.fromDDL(SCHEMAS[name])
+    reads = ENTITIES[payload].reads if narrow and payload in ENTITIES else ()
+    return narrowed(schema, reads) if reads else schema
 
 
 def payload_of(entity: str) -> str:
@@ -71,7 +74,8 @@ def refine_all(
     From a columnar payload each output reads its own columns, and no more is needed. If the
     payload is dear to read (JSON text, a join), give a ``landing`` path: it is then brought
     to its declared schema, written once as parquet, and the outputs read that. ``keep``
-    names the columns that ingestion added and the schema does not list.
+    names the columns that ingestion added and the schema does not list. Each output then scans no
+    more of the landed structs than it uses.
     """
     names = list(entities)
     payloads = {payload_of(name) for name in names}
@@ -83,4 +87,14 @@ def refine_all(
             added = [df.schema[column] for column in keep]
             df = conform(df, T.StructType([*schema_for(payload).fields, *added]))
         df = land(df, landing)
-    return {name: refine(df, name, **(context or {}).get(name, {})) for name in names}
+
+    def scanned(name: str) -> DataFrame:
+        reads = ENTITIES[name].reads
+        if landing is None or not reads:
+            return df
+        declared = {path.split(".")[0].lower() for path in schema_for(name).fieldNames()}
+        added = [field for field in df.schema.fields if field.name.lower() not in declared]
+        schema = T.StructType([*narrowed(df.schema, reads).fields, *added])
+        return df.sparkSession.read.schema(schema).parquet(landing)
+
+    return {name: refine(scanned(name), name, **(context or {}).get(name, {})) for name in names}

@@ -1,12 +1,13 @@
 """Reading raw records, fitting them to a schema, and writing refined tables."""
 
-from refinery.sources.conform import conform
+from refinery.sources.conform import conform, narrowed
 from refinery.sources.readers import read_entity, read_json_column, read_table
 from refinery.sources.sinks import land, write_snapshot, write_table
 
 __all__ = [
     "conform",
     "land",
+    "narrowed",
     "read_entity",
     "read_json_column",
     "read_table",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,38 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def narrowed(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
+    """The schema cut down to the given dotted paths, which go through structs and arrays alike.
+
+    A columnar scan with such a schema reads these leaves only, also where Spark's own pruning stops:
+    at arrays whose elements are exploded. A path to a struct keeps all of it.
+    """
+    wanted: dict[str, list[str]] = {}
+    for path in paths:
+        head, _, rest = path.partition(".")
+        wanted.setdefault(head.lower(), []).append(rest)
+    known = {field.name.lower() for field in schema.fields}
+    if unknown := wanted.keys() - known:
+        raise ValueError(f"{sorted(unknown)} are not in {schema.simpleString()}")
+
+    def cut(kind: T.DataType, below: list[str]) -> T.DataType:
+        if "" in below:
+            return kind
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(cut(kind.elementType, below), kind.containsNull)
+        if not isinstance(kind, T.StructType):
+            raise ValueError(f"{below} lead into {kind.simpleString()}")
+        return narrowed(kind, below)
+
+    return T.StructType(
+        [
+            T.StructField(field.name, cut(field.dataType, wanted[field.name.lower()]), field.nullable)
+            for field in schema.fields
+            if field.name.lower() in wanted
+        ]
+    )
+
+
 def _field(given: T.StructType, name: str) -> T.StructField | None:
     """The field of that name; one that differs in case only will do if there is no other."""
     exact = [field for field in given.fields if field.name == name]

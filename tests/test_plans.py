@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from refinery import functions as fn
 from refinery import operators as op
+from refinery import sources
 from refinery.plans import registry
 from tests.frames import nodes, plan
 
@@ -167,3 +169,27 @@ def test_pipelines_stay_in_the_jvm_and_off_the_driver(spark):
         text = plan(registry.refine(df, name))
         for word in ("Python", "Cartesian", "BroadcastNestedLoop", "SinglePartition", "Arrow"):
             assert word not in text, (name, word)
+
+
+@pytest.mark.parametrize("name", [name for name, entity in registry.ENTITIES.items() if entity.reads])
+def test_landed_entities_scan_no_more_than_they_use(spark, conf, tmp_path, name):
+    conf("spark.sql.adaptive.enabled", "false")
+    full = registry.schema_for(name)
+    payload = spark.createDataFrame([], full).withColumn("VestigingId", F.lit(1))
+    landed = registry.refine_all(payload, [name], landing=str(tmp_path / "landed"), keep=["VestigingId"])[name]
+    narrow = registry.schema_for(name, narrow=True)
+    scanned = read_schema(landed)
+    for unused in ("remarks", "salesPoint", "priceIncludedVAT", "vat_percentage", "journal"):
+        assert unused not in scanned
+    assert len(narrow.simpleString()) < len(full.simpleString())
+    # Each declared path is needed: without it the entity cannot be refined. (An own id would be mistaken for "Id".)
+    for path in set(registry.ENTITIES[name].reads) - {"id"}:
+        others = [other for other in registry.ENTITIES[name].reads if other != path]
+        frame = spark.createDataFrame([], sources.narrowed(full, others)).withColumn("VestigingId", F.lit(1))
+        with pytest.raises(AnalysisException):
+            registry.refine(frame, name)
+
+
+def test_narrowed_refuses_unknown_paths():
+    with pytest.raises(ValueError, match="not in"):
+        sources.narrowed(registry.schema_for("tomm.booking"), ["id", "nothing.here"])
