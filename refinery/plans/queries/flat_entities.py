@@ -23,10 +23,10 @@ CATALOG = Catalog()
 
 
 def add(entity: str, payload: FlatPayload, select: str, **context: Any) -> None:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return registry.refine(payload.frame(spark, folder), entity, **context)
+    def refine(df: DataFrame) -> DataFrame:
+        return registry.refine(df, entity, **context)
 
-    CATALOG.add(entity.replace(".", "_"), payload.oracle(select))(run)
+    CATALOG.add_entity(entity.replace(".", "_"), payload.frame, refine, payload.oracle(select))
 
 
 # --- taxi: payloads of a relational source, so the columns are laid down here ---------------

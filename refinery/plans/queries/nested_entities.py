@@ -27,10 +27,10 @@ CATALOG = Catalog()
 
 
 def add(entity: str, payload: Run, oracle: str, **context: Any) -> None:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return registry.refine(payload(spark, folder), entity, **context)
+    def refine(df: DataFrame) -> DataFrame:
+        return registry.refine(df, entity, **context)
 
-    CATALOG.add(entity.replace(".", "_"), oracle)(run)
+    CATALOG.add_entity(entity.replace(".", "_"), payload, refine, oracle)
 
 
 def wrapped(payload: FlatPayload, *columns: str) -> Run:

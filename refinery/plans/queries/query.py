@@ -12,10 +12,15 @@ Run = Callable[[SparkSession, str], DataFrame]
 
 @dataclass(frozen=True)
 class Query:
-    """A query over the tables of a folder, and the SQL that must give the same rows."""
+    """A query over the tables of a folder, and the SQL that must give the same rows.
+
+    For entities, ``run`` is ``refine`` of ``payload``; a bench can store the payload and time the rest.
+    """
 
     run: Run
     oracle: str
+    payload: Run | None = None
+    refine: Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass
@@ -31,6 +36,13 @@ class Catalog:
 
         return keep
 
+    def add_entity(
+        self, name: str, payload: Run, refine: Callable[[DataFrame], DataFrame], oracle: str
+    ) -> None:
+        self.add(name, oracle)(lambda spark, folder: refine(payload(spark, folder)))
+        kept = self.queries[name]
+        self.queries[name] = Query(kept.run, oracle, payload, lambda df: portable(refine(df)))
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
