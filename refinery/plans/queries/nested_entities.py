@@ -6,6 +6,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from refinery.plans import registry
 from refinery.plans.entities.dip import RANK_FIELDS
@@ -22,6 +23,7 @@ from refinery.plans.queries.payloads import (
 from refinery.plans.queries.query import Catalog, Run, table
 from refinery.plans.registry import SCHEMAS
 from refinery.session import work_folder
+from refinery.sources import read_entity
 
 CATALOG = Catalog()
 
@@ -691,3 +693,33 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         for name, frame in refined.items()
     ]
     return rows[0].unionByName(rows[1])
+
+
+# --- from text records ----------------------------------------------------------------------
+
+
+def from_records(entity: str) -> None:
+    """The entity from its payload written as JSON lines and read by the declared schema, as sources send it."""
+    known = CATALOG.queries[entity.replace(".", "_")]
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        payload = known.payload(spark, folder)
+        path = work_folder(spark, "records")
+        payload.write.option("ignoreNullFields", "true").json(path)
+        declared = registry.schema_for(entity, narrow=True)
+        names = {name.lower() for name in registry.schema_for(entity).fieldNames()}
+        added = [field for field in payload.schema.fields if field.name.lower() not in names]
+        return registry.refine(read_entity(spark, path, T.StructType([*declared.fields, *added])), entity)
+
+    CATALOG.add(f"json_{entity.replace('.', '_')}", known.oracle)(run)
+
+
+for _entity in (
+    "dyflexis.employee_contract",
+    "dyflexis.department_tree",
+    "tomm.booking_rule",
+    "tomm.item_rule",
+    "eijsink.sales_items",
+    "eijsink.salespoints",
+):
+    from_records(_entity)
