@@ -18,7 +18,7 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = _U(0xD6E8FEB86659FD93)
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 # 0 parts words, 1 is part of one, 2 is a digit.
 _blank = [0 if b == 0x20 or 0x09 <= b <= 0x0D else 1 for b in range(256)]
@@ -49,7 +49,7 @@ _up, _down = _powers(_BASE, _BLOCK + 1), _powers(_INVERSE, _BLOCK + 1)
 
 
 def word_hashes(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of ``lower[start:end]`` for each word, over blocks of about a megabyte."""
+    """A hash of ``lower[start:end]`` for each word, over blocks of some hundred kilobytes."""
     out = np.empty(len(starts), dtype=_U)
     first = 0
     while first < len(starts):

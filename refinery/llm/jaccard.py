@@ -11,6 +11,7 @@ documents gives the same result; a coarser sketch only makes prefixes less selec
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,28 +22,30 @@ from pyspark.sql import functions as F
 
 from refinery.llm.common import keep_on_disk
 from refinery.llm.rows import first_of_ids, without_ids
-from refinery.llm.hashing import BY_BLANKS, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
-from refinery.llm.linking import link_by_keys, shared_only
+from refinery.llm.hashing import BY_BLANKS, BY_PUNCTUATION, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
+from refinery.llm.linking import connected_components, link_by_keys, shared_only
 
 
 @dataclass(frozen=True)
 class Settings:
     """Link at ``percent`` of the union or more. ``most_matches`` bounds m, the matches a prefix is made for.
 
-    ``verify_cost`` is what checking a pair costs, in units of finding one shared shingle.
+    ``by_punctuation`` parts words at all ASCII marks, not at blanks only. ``verify_cost`` is what checking a pair costs, in units of finding one shared shingle.
     """
 
     n: int = 3
     percent: int = 90
+    by_punctuation: bool = False
     most_matches: int = 4
     verify_cost: float = 50.0
     sketch_bits: int = 20
     bitmap_words: int = 16
 
 
-def shingle_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[str | None], settings: Settings) -> Iterator[np.ndarray]:
     """The sorted hashes of each text's distinct shingles of n words; of all its words, if they are fewer."""
-    w = words_of(texts, BY_BLANKS)
+    n = settings.n
+    w = words_of(texts, BY_PUNCTUATION if settings.by_punctuation else BY_BLANKS)
     runs = run_hashes(w.hashes, n)
     for a, b in zip(w.first[:-1], w.first[1:], strict=True):
         if b - a >= n:
@@ -60,32 +63,32 @@ def sketch(docs: DataFrame, settings: Settings) -> np.ndarray:
     Every task counts into a table of ``2 ** sketch_bits`` slots; the tables are added up chunk by
     chunk, in two steps, and the sum of 8 MB (at 20 bits) comes to the driver.
     """
-    slots, shift, n = 1 << settings.sketch_bits, np.uint64(64 - settings.sketch_bits), settings.n
+    slots, shift = 1 << settings.sketch_bits, np.uint64(64 - settings.sketch_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(slots, dtype=np.int64)
         for batch in batches:
             for _, texts in text_batches(batch, "text"):
-                hashes = np.concatenate([np.empty(0, np.uint64), *shingle_sets(texts, n)])
+                hashes = np.concatenate([np.empty(0, np.uint64), *shingle_sets(texts, settings)])
                 counts += np.bincount((hashes >> shift).astype(np.int64), minlength=slots)
         chunks = counts.reshape(-1, min(slots, SKETCH_CHUNK))
         used = [k for k, chunk in enumerate(chunks) if chunk.any()]
         yield pa.RecordBatch.from_pydict(
-            {"chunk": pa.array(used, pa.int32()), "counts": [chunks[k].tobytes() for k in used]}
+            {"chunk": pa.array(used, pa.int32()), "counts": [zlib.compress(chunks[k], 1) for k in used]}
         )
 
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(min(slots, SKETCH_CHUNK), dtype=np.int64)
         for counts in rows["counts"]:
-            total += np.frombuffer(counts.as_buffer(), np.int64)
-        return pa.table({"chunk": rows["chunk"][:1], "counts": [total.tobytes()]})
+            total += np.frombuffer(zlib.decompress(counts.as_buffer()), np.int64)
+        return pa.table({"chunk": rows["chunk"][:1], "counts": [zlib.compress(total, 1)]})
 
     kind = "chunk int, counts binary"
     part = docs.mapInArrow(count, kind).withColumn("part", F.spark_partition_id() % 64)
     step = part.groupBy("chunk", "part").applyInArrow(lambda t: add(t), kind)
     out = np.zeros((slots // min(slots, SKETCH_CHUNK), min(slots, SKETCH_CHUNK)), dtype=np.int64)
     for row in step.groupBy("chunk").applyInArrow(lambda t: add(t), kind).collect():
-        out[row["chunk"]] = np.frombuffer(row["counts"], np.int64)
+        out[row["chunk"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
     return out.ravel()
 
 
@@ -133,7 +136,7 @@ def signatures(docs: DataFrame, counts: np.ndarray, settings: Settings) -> DataF
             ids = batch.column("node").to_pylist()
             for start, texts in text_batches(batch, "text"):
                 rows = []
-                for node, s in zip(ids[start:], shingle_sets(texts, settings.n), strict=False):
+                for node, s in zip(ids[start:], shingle_sets(texts, settings), strict=False):
                     size, need = len(s), -(-settings.percent * len(s) // 100)
                     held = table[(s >> shift).astype(np.int64)]
                     order = np.lexsort((s, held))[: size - need + settings.most_matches]
@@ -161,11 +164,11 @@ def signatures(docs: DataFrame, counts: np.ndarray, settings: Settings) -> DataF
 
 def verify_pairs(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) of nodes whose texts reach the threshold, counted exactly."""
-    n, percent = settings.n, settings.percent
+    percent = settings.percent
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (list(shingle_sets(batch.column(c).to_pylist(), n)) for c in ("a_text", "b_text"))
+            left, right = (list(shingle_sets(batch.column(c).to_pylist(), settings)) for c in ("a_text", "b_text"))
             good = []
             for x, y in zip(left, right, strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
@@ -178,40 +181,39 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, settings: Settings) -> Data
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(check, "a long, b long").distinct()
 
 
-def jaccard_classes(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", settings: Settings = Settings()
-) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id reachable by links).
+KEYS = ["key1", "key2", "size"]
 
-    Documents with equal sets form a class at once, by a key of the set, and only one of a class goes
-    on. Prefix shingles that one class alone has are dropped, the others are linked through leaders
-    first and then between components. Candidates whose sizes or parity bits rule a link out are
-    dropped before their texts are fetched, and the rest are counted on whole texts.
 
-    No link between different texts is lost: all filters are exact. NULL and empty texts have no
-    shingles and are their own component. Rows without id keep their size, take no part in links and
-    get a NULL component. Rows of one id are one node. An empty table gives no rows. Other columns
-    are left out.
+def jaccard_links(
+    docs: DataFrame, *, id: str, text: str, settings: Settings
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures by row, classes of equal sets by smallest node, and links (a, b) of the classes' nodes.
+
+    See :func:`jaccard_classes`; the links connect what all links would connect.
     """
     texts = docs.select(F.col(id).cast("long").alias("node"), F.col(text).alias("text"))
     counts = sketch(texts.select("text"), settings)
     signed = keep_on_disk(signatures(texts, counts, settings), "signatures")
-    keys = ["key1", "key2", "size"]
     able = signed.where("size > 0 AND node IS NOT NULL")
     classes = keep_on_disk(
-        able.groupBy(*keys).agg(F.min("node").alias("node"), F.first("bits").alias("bits")), "classes"
+        able.groupBy(*KEYS).agg(F.min("node").alias("node"), F.first("bits").alias("bits")), "classes"
     )
-    shared = shared_only(able.select(F.explode("prefix").alias("key"), "node", "size", "matches"))
-    stands_for = able.select(*keys, F.col("node").alias("member")).join(classes.select(*keys, "node"), keys)
+    shared = shared_only(able.select(F.posexplode("prefix").alias("at", "key"), "node", "size", "matches"))
+    stands_for = able.select(*KEYS, F.col("node").alias("member")).join(classes.select(*KEYS, "node"), KEYS)
     stands_for = stands_for.select("member", F.col("node").alias("class"))
     postings = keep_on_disk(
         shared.join(stands_for, F.col("node") == F.col("member"))
         .groupBy("key", F.col("class").alias("node"))
-        .agg(F.min("size").alias("size"), F.min("matches").alias("matches")),
+        .agg(F.min("size").alias("size"), F.min("matches").alias("matches"), F.min("at").alias("at")),
         "class-postings",
     )
     percent = F.lit(settings.percent)
-    near = 100 * F.least("a_size", "b_size") >= percent * F.greatest("a_size", "b_size")
+    matches = F.least("a_matches", "b_matches")
+    # One of the first ``matches`` shared shingles has as many before it at most, and all others behind it.
+    most = matches - 1 + F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at"))
+    near = (100 * F.least("a_size", "b_size") >= percent * F.greatest("a_size", "b_size")) & (
+        (100 + percent) * most >= percent * (F.col("a_size") + F.col("b_size"))
+    )
 
     def verify(pairs: DataFrame) -> DataFrame:
         sides = [
@@ -239,14 +241,33 @@ def jaccard_classes(
         found = some.mapInArrow(needed, "node long, text string")
         return verify_pairs(left, found, settings)
 
-    linked = link_by_keys(
-        postings, verify, near=near, enough=F.col("shared") >= F.least("a_matches", "b_matches")
-    )
-    named = classes.select(*keys, "node").join(linked, "node", "left")
-    named = named.select(*keys, F.coalesce("component", "node").alias("component_id"))
+    # Of near copies, those with few shingles of their own meet a shared one early; they lead.
+    turn = F.shiftleft(F.col("at").cast("long"), 32) + F.pmod(F.xxhash64("node", "key"), F.lit(1 << 32))
+    return signed, classes, link_by_keys(postings, verify, near=near, enough=F.col("shared") >= matches, turn=turn)
+
+
+def jaccard_classes(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id reachable by links).
+
+    Documents with equal sets form a class at once, by a key of the set, and only one of a class goes
+    on. Prefix shingles that one class alone has are dropped, the others are linked through leaders
+    first and then between components. Pairs whose sizes or the places of a shared shingle rule a
+    link out do not come up, candidates whose parity bits do are dropped before their texts are
+    fetched, and the rest are counted on whole texts.
+
+    No link between different texts is lost: all filters are exact. NULL and empty texts have no
+    shingles and are their own component. Rows without id keep their size, take no part in links and
+    get a NULL component. Rows of one id are one node. An empty table gives no rows. Other columns
+    are left out.
+    """
+    signed, classes, links = jaccard_links(docs, id=id, text=text, settings=settings)
+    named = classes.select(*KEYS, "node").join(connected_components(links), "node", "left")
+    named = named.select(*KEYS, F.coalesce("component", "node").alias("component_id"))
     return (
-        signed.select(F.col("node").alias("doc_id"), *keys)
-        .join(named, keys, "left")
+        signed.select(F.col("node").alias("doc_id"), *KEYS)
+        .join(named, KEYS, "left")
         .select(
             "doc_id",
             F.col("size").cast("long").alias("n_shingles"),

@@ -17,19 +17,24 @@ from refinery.llm.common import keep_on_disk
 Verify = Callable[[DataFrame], DataFrame]
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, *, rounds: int | None = None) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b); a component is named by its smallest node.
 
+    With ``rounds`` it stops after so many. Nodes of one label are then of one component, but a
+    component may still have several labels.
+
     Every round gives each node the smallest label among its neighbours' and follows that label's
     own label, so paths shorten geometrically. Labels are written to shared disk round by round and
     never come to the driver; it only sees whether any has changed. A node with very many edges is a
     hot key of joins that adaptive execution splits, and is combined before it is shuffled.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = edges.where("a <> b").select(F.inline(F.array(F.struct("a", "b"), turned)))
     both = keep_on_disk(both.distinct(), "edges")
     labels = keep_on_disk(
         both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("component")), "labels"
     )
+    done = 0
     while True:
         heard = (
             both.join(labels.select(F.col("node").alias("b"), "component"), "b")
@@ -48,7 +53,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
             ),
             "labels",
         )
-        if labels.where("changed").limit(1).count() == 0:
+        done += 1
+        if done == rounds or labels.where("changed").limit(1).count() == 0:
             return labels.select("node", "component")
         labels = labels.select("node", "component")
 
@@ -59,34 +65,72 @@ def shared_only(postings: DataFrame) -> DataFrame:
     return keep_on_disk(postings.join(shared, "key"), "postings")
 
 
-def link_by_keys(postings: DataFrame, verify: Verify, *, near: Column, enough: Column) -> DataFrame:
-    """(node, component) of the nodes that are linked to any other.
-
-    ``postings``, a written table, has columns key, node and others that ``near`` and ``enough`` speak of, prefixed with
-    ``a_`` and ``b_``: ``near`` says whether two nodes of a key may be linked at all, ``enough``
-    whether two nodes with ``shared`` keys in common must be verified (it sees the pair's first values).
-    ``verify`` takes pairs (a, b) and returns those that are linked. Finds every link between
-    components, so the components are those of all links.
+def link_to_leaders(
+    postings: DataFrame,
+    verify: Verify,
+    *,
+    near: Column | None = None,
+    turn: Column | None = None,
+    leaders: int = 1,
+) -> DataFrame:
+    """The links (a, b) of nodes with the leaders of a key of theirs, ``leaders`` pairs per node and key.
+
+    ``postings``, a written table, has columns key, node and others that ``near`` and ``turn`` speak
+    of. ``near`` says whether two nodes of a key may be linked at all, with prefixes ``a_`` and ``b_``.
+    ``turn`` orders the nodes of a key: the lowest leads; by default a hash, another one for each key
+    and leader. If there is a column component, nodes of one component do not meet.
+    ``verify`` takes pairs (a, b) and returns those that are linked.
     """
-    extra = [name for name in postings.columns if name not in ("key", "node")]
-    turn = F.xxhash64("node", "key")
-    leaders = postings.groupBy("key").agg(
-        F.min_by("node", turn).alias("b"), *(F.min_by(name, turn).alias(f"b_{name}") for name in extra)
-    )
+    extra = [name for name in postings.columns if name not in ("key", "node", "component")]
+    turns = [F.xxhash64("node", "key", F.lit(k)) if turn is None else turn for k in range(leaders)]
+    if "component" in postings.columns:
+        near = (F.lit(True) if near is None else near) & (F.col("a_component") != F.col("b_component"))
+        extra.append("component")
+    if leaders == 1:
+        leading = postings.groupBy("key").agg(
+            F.min_by("node", turns[0]).alias("b"), *(F.min_by(name, turns[0]).alias(f"b_{name}") for name in extra)
+        )
+    else:
+        one = F.struct(F.col("node").alias("b"), *(F.col(name).alias(f"b_{name}") for name in extra))
+        chosen = postings.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by(one, t) for t in turns))).alias("of"))
+        leading = chosen.select("key", F.inline("of"))
     first = postings.select("key", F.col("node").alias("a"), *(F.col(name).alias(f"a_{name}") for name in extra))
-    met = first.join(leaders, "key").where("a <> b").where(near)
-    sure = keep_on_disk(verify(_ordered(met).distinct()), "links")
-    known = connected_components(sure)
-
-    placed = (
-        postings.join(known, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .select("key", "node", "component", *extra)
-    )
+    met = first.join(leading, "key").where("a <> b")
+    met = met if near is None else met.where(near)
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return keep_on_disk(verify(pairs).select("a", "b"), "links")
+
+
+def still_open(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """The postings of keys whose nodes are in several components, with the node's component."""
+    placed = postings.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_keys = (
         placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     )
-    placed = keep_on_disk(placed.join(open_keys.select("key"), "key"), "placed")
+    return keep_on_disk(placed.join(open_keys.select("key"), "key"), "placed")
+
+
+# Between the steps a few rounds do: a component that still has several labels only gives more pairs.
+ROUNDS = 2
+
+
+def link_by_keys(
+    postings: DataFrame, verify: Verify, *, near: Column, enough: Column, turn: Column | None = None
+) -> DataFrame:
+    """Links (a, b) of nodes that share keys: by leaders first and then across components.
+
+    Keys get a leader by ``turn`` first, and eight by chance where that leaves several components.
+
+    See :func:`link_to_leaders`. ``enough`` says whether two nodes with ``shared`` keys in common must
+    be verified; it sees the pair's first values. Leaves out links between nodes that others connect
+    already, so the components are those of all links.
+    """
+    extra = [name for name in postings.columns if name not in ("key", "node")]
+    sure = link_to_leaders(postings, verify, near=near, turn=turn)
+    placed = still_open(postings, connected_components(sure, rounds=ROUNDS))
+    if turn is not None:
+        sure = keep_on_disk(sure.union(link_to_leaders(placed, verify, near=near, leaders=8)), "links")
+        placed = still_open(placed.drop("component"), connected_components(sure, rounds=ROUNDS))
     sides = [
         placed.select(
             "key",
@@ -101,8 +145,4 @@ def link_by_keys(postings: DataFrame, verify: Verify, *, near: Column, enough: C
         F.count("*").alias("shared"), *(F.first(f"{s}_{name}").alias(f"{s}_{name}") for s in "ab" for name in extra)
     )
     more = verify(counted.where(enough).select("a", "b"))
-    return connected_components(sure.select("a", "b").union(more.select("a", "b")))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return sure.union(more.select("a", "b"))
