@@ -3,6 +3,10 @@
 The paragraphs of a document are its lines with enough words. Paragraphs whose MinHash agrees in all
 rows of a band collide, colliding ones are compared exactly, and the components of those that are
 alike are the groups of which one paragraph stays.
+
+Variants of one paragraph may collide in thousands without being alike enough. So a band's paragraphs
+are compared with one of them only, and those that this leaves in different components are joined by
+the rarest shingles of their sets, which variants do not share.
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ from pyspark.sql import functions as F
 
 from refinery.llm.common import free_name, keep_on_disk
 from refinery.llm.hashing import BY_PUNCTUATION, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
-from refinery.llm.linking import link_by_keys, shared_only
+from refinery.llm.jaccard import Settings as JaccardSettings
+from refinery.llm.jaccard import KEYS, jaccard_links
+from refinery.llm.linking import ROUNDS, connected_components, link_to_leaders, shared_only, still_open
 
 
 @dataclass(frozen=True)
@@ -195,8 +201,8 @@ def repeated_paragraphs(
     ``component_id`` and ``keep``, true for the first of each component by (doc_id, start).
 
     Equal paragraphs are one node from the start, however many there are. Nodes that share a band
-    meet the band's leader first and other components afterwards, never all of a group; those that
-    collide are fetched and compared on their whole texts. MinHash may miss a pair at the threshold
+    meet the band's leader and are compared on their whole texts; bands whose nodes are in several
+    components then go through the exact join of :mod:`jaccard`. No group gives all its pairs. MinHash may miss a pair at the threshold
     with the probability that ``settings.recall`` leaves; equal paragraphs are never missed.
 
     ``start`` and ``end`` are code points of the text. NULL and empty texts have no paragraphs; rows
@@ -213,7 +219,14 @@ def repeated_paragraphs(
         met = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         return alike(pairs, paragraph_texts(texts, met, settings), settings)
 
-    linked = link_by_keys(postings, verify, near=F.lit(True), enough=F.lit(True))
+    sure = link_to_leaders(postings, verify)
+    placed = still_open(postings, connected_components(sure, rounds=ROUNDS))
+    unsettled = keep_on_disk(paragraph_texts(texts, placed.select("node").distinct(), settings), "unsettled")
+    # One match a pair: with more, the places of a shared shingle rule out less, and variants share single ones.
+    exact = JaccardSettings(n=settings.n, percent=settings.percent, by_punctuation=True, most_matches=1)
+    sets, classes, more = jaccard_links(unsettled, id="node", text="text", settings=exact)
+    equal = sets.select(*KEYS, F.col("node").alias("a")).join(classes.select(*KEYS, F.col("node").alias("b")), KEYS)
+    linked = connected_components(sure.union(more).union(equal.select("a", "b").where("a <> b")))
     placed = signed.drop("bands").join(linked, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     placed = placed.select("doc_id", "paragraph", "start", "end", "component_id")
     groups = (
