@@ -360,7 +360,7 @@ def test_buckets_can_be_added(spark):
 def test_conform_fits_maps_and_json(spark):
     df = spark.sql("select map('1', 2, 'x', 3) as m, '{\"a\": 5}' as s, 'junk' as t, map('a', map(1, 2)) as deep")
     wanted = "m map<bigint, bigint>, s struct<a: int>, t struct<a: int>, deep map<string, map<bigint, double>>"
-    fitted = conform(df, T.StructType.fromDDL(wanted))
+    fitted = sources.conform(df, StructType.fromDDL(wanted))
     row = fitted.first()
     assert fitted.schema["m"].dataType.simpleString() == "map<bigint,bigint>"
     assert row.m == {1: 2} and row.s.a == 5 and row.deep == {"a": {1: 2.0}}
