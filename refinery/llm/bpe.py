@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from struct import pack
 
 import ahocorasick
@@ -24,7 +25,8 @@ from refinery.llm.common import per_text
 
 NONE = -1
 # What the caches of a worker may hold; they are emptied beyond it, results do not depend on it.
-MOST_CHUNKS, MOST_PAIRS = 250_000, 1_000_000
+MOST_CHUNKS, MOST_PAIRS = 200_000, 300_000
+MARKS = frozenset(".,;:!?")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,16 +45,23 @@ class Merges:
         if sum(n == 1 for n in lengths) != 256:
             raise ValueError("every single byte must be a token")
         self.length = {rank: len(token) for token, rank in ranks.items()}
+        self.most = max(lengths)
         self.matcher = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.matcher.add_word(token.decode("latin-1"), rank)
+        # The matcher tells how far a text goes along any token; from there, the longest whole token.
+        self.longest: dict[str, int] = {}
+        for token in sorted(ranks):
+            text = token.decode("latin-1")
+            self.matcher.add_word(text, ranks[token])
+            rank = NONE
+            for end in range(1, len(text) + 1):
+                rank = ranks.get(token[:end], rank)
+                self.longest[text[:end]] = rank
         self.shorter = {rank: self._prefix(token) for token, rank in ranks.items()}
-        self.matcher.make_automaton()
         self.parts: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
         for token, rank in sorted(ranks.items(), key=lambda item: item[1]):
             self._split(token, rank)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
 
     def _prefix(self, token: bytes) -> int:
         """The longest token that this one starts with, itself aside."""
@@ -98,55 +107,54 @@ class Merges:
         whole = self.ids.get(piece)
         if whole is not None:
             return [whole]
-        size = len(piece)
-        length, shorter, fits = self.length, self.shorter, self.fits
-        longest = [NONE] * size
-        for end, rank in self.matcher.iter(piece.decode("latin-1")):
-            start = end - length[rank] + 1
-            if longest[start] == NONE or length[rank] > length[longest[start]]:
-                longest[start] = rank
-        open_ends = bytearray(b"\x01") * (size + 1)
+        size, text = len(piece), piece.decode("latin-1")
+        length, fits, longest, most, along = self.length, self.fits, self.longest, self.most, self.matcher.longest_prefix
+        closed: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[0]
-        while at < size:
-            last = out[-1] if out else NONE
-            while token != NONE:
-                end = at + length[token]
-                if open_ends[end]:
-                    if last == NONE:
-                        break
-                    pair = (last, token)
-                    good = fits.get(pair)
-                    if good is None:
-                        if len(fits) >= MOST_PAIRS:
-                            fits.clear()
-                        good = fits[pair] = self.compatible(last, token)
-                    if good:
-                        break
-                token = shorter[token]
-            if token != NONE:
-                out.append(token)
-                at = end
-                token = longest[at] if at < size else NONE
+        ahead = text[:most]
+        at, token, last = 0, longest[ahead[: along(ahead)]], NONE
+        while True:
+            end = at + length[token]
+            if last == NONE:
+                good = True
             else:
-                open_ends[at] = 0
-                token = out.pop()
-                at -= length[token]
-        return out
+                pair = last << 32 | token
+                good = fits.get(pair)
+                if good is None:
+                    if len(fits) >= MOST_PAIRS:
+                        fits.clear()
+                    good = fits[pair] = self.compatible(last, token)
+            if good and end not in closed:
+                out.append(token)
+                if end == size:
+                    return out
+                ahead = text[end : end + most]
+                at, last, token = end, token, longest[ahead[: along(ahead)]]
+                continue
+            token = self.shorter[token]
+            while token == NONE:
+                closed.add(at)
+                out.pop()
+                at -= length[last]
+                token, last = self.shorter[last], out[-1] if out else NONE
 
 
 class Chunks(dict):
-    """Ids, as bytes, of chunks of text between spaces; the frequent ones survive a full cache."""
+    """Ids, as bytes, of chunks of text between spaces; the frequent ones survive a full cache.
+
+    ``lead`` is what stands before every chunk: nothing at the start of a text, else the space.
 
-    def __init__(self, merges: Merges, pattern: regex.Pattern):
-        self.merges, self.find, self.old = merges, pattern.findall, {}
+    With ``plain`` the pattern takes letters with a space in front as one piece, and parts them from
+    a mark behind, which spares most chunks the pattern.
+    """
+
+    def __init__(self, merges: Merges, pattern: regex.Pattern, plain: bool, lead: str):
+        self.merges, self.find, self.plain, self.lead, self.old = merges, pattern.findall, plain, lead, {}
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
-            encode = self.merges.encode
-            found = [i for piece in self.find(chunk) for i in encode(piece.encode())]
-            ids = pack(f"<{len(found)}I", *found)
+            ids = self.encode(chunk)
         if len(chunk) <= 64:
             if len(self) >= MOST_CHUNKS:
                 self.old = dict(self)
@@ -154,10 +162,20 @@ class Chunks(dict):
             self[chunk] = ids
         return ids
 
+    def encode(self, chunk: str) -> bytes:
+        encode, whole = self.merges.encode, self.lead + chunk
+        if self.plain and chunk[-1:] in MARKS and chunk[-2:-1].isalpha():
+            return self[chunk[:-1]] + pack("<I", *encode(chunk[-1].encode()))
+        if self.plain and chunk.isalpha():
+            found = encode(whole.encode())
+        else:
+            found = [i for piece in self.find(whole) for i in encode(piece.encode())]
+        return pack(f"<{len(found)}I", *found)
+
 
 # Where white space is followed by a space and then by white space or the end, a split at the space
 # could part what the pattern takes as one piece.
-_tangled = regex.compile(r"\s (?:\s|$)")
+_tangled = re.compile(r" (?=\s|\Z)(?<=\s )")
 
 
 class Encoder:
@@ -170,7 +188,11 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.merges = Merges(ranks)
         self.pattern = regex.compile(pattern)
-        self.chunks = Chunks(self.merges, self.pattern)
+        find = self.pattern.findall
+        words = ["ab", " ab", "é", " ß"]
+        plain = all(find(x) == [x] and find(x + mark) == [x, mark] for x in words for mark in MARKS)
+        self.opening = Chunks(self.merges, self.pattern, plain, "")
+        self.chunks = Chunks(self.merges, self.pattern, plain, " ")
         probe = [" a", " 1", " .", "a b", "a", "\n", " a\n", "a\n b", " \n"]
         self.by_chunks = all(
             self.pattern.findall(x + " " + y) == self.pattern.findall(x) + self.pattern.findall(" " + y)
@@ -187,8 +209,7 @@ class Encoder:
             found = [i for piece in self.pattern.findall(text) for i in encode(piece.encode())]
             return pack(f"<{len(found)}I", *found)
         first, *rest = text.split(" ")
-        look = self.chunks.__getitem__
-        return look(first) + b"".join([look(" " + chunk) for chunk in rest])
+        return self.opening[first] + b"".join(map(self.chunks.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.merges.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
