@@ -10,8 +10,8 @@ so bytes go through it as the Latin-1 characters of the same number.
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
+import zlib
 from struct import pack
 
 import ahocorasick
@@ -21,11 +21,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import per_text
+from refinery.llm.common import per_text, worker_cache
 
 NONE = -1
 # What the caches of a worker may hold; they are emptied beyond it, results do not depend on it.
-MOST_CHUNKS, MOST_PAIRS = 200_000, 300_000
+MOST_CHUNKS, MOST_PAIRS = 150_000, 300_000
 MARKS = frozenset(".,;:!?")
 
 
@@ -215,17 +215,10 @@ class Encoder:
         return b"".join(map(self.merges.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder_of(lines: bytes, pattern: str) -> Encoder:
-    """The encoder of a rank file's content, built once per worker."""
-    key = hashlib.sha256(lines + pattern.encode()).hexdigest()
-    if key not in _encoders:
-        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(bytes.strip, lines.splitlines()))}
-        _encoders.clear()
-        _encoders[key] = Encoder(ranks, pattern)
-    return _encoders[key]
+    """The encoder of a rank file's content."""
+    ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(bytes.strip, lines.splitlines()))}
+    return Encoder(ranks, pattern)
 
 
 class Vocabulary:
@@ -247,14 +240,14 @@ class Vocabulary:
         return per_text(lambda value: _cached(lines, pattern).decode(value or b""), "binary", pa.binary())(ids)
 
 
-_last: list = [None, None]
+_known: list = [None, None]
 
 
 def _cached(lines, pattern: str) -> Encoder:
-    key = (lines.id if hasattr(lines, "id") else id(lines), pattern)
-    if _last[0] != key:
-        _last[:] = [key, encoder_of(lines.value, pattern)]
-    return _last[1]
+    # The content is summed up once per broadcast; tasks of later stages may bring the same content anew.
+    if _known[0] is not lines:
+        _known[:] = [lines, (zlib.crc32(lines.value), len(lines.value))]
+    return worker_cache((_known[1], pattern), lambda: encoder_of(lines.value, pattern))
 
 
 def with_ids(docs: DataFrame, path: str, pattern: str, *, text: str = "text", into: str = "ids") -> DataFrame:

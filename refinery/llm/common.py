@@ -27,6 +27,22 @@ def per_text(function: Callable[[str], object], ddl: str, arrow: pa.DataType) ->
     return F.arrow_udf(batch, ddl)
 
 
+_cached: list = [None, None]
+
+
+def worker_cache(key: object, build: Callable[[], object]) -> object:
+    """What ``build`` makes, kept in the worker for the next task that asks with the same key. One at a time."""
+    if _cached[0] != key:
+        release_worker_cache()
+        _cached[:] = [key, build()]
+    return _cached[1]
+
+
+def release_worker_cache() -> None:
+    """Lets go of it: workers serve one operator after the other, and memory is shared with the executor."""
+    _cached[:] = [None, None]
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """``wish``, lengthened until no column of ``df`` has that name."""
     taken = {name.lower() for name in df.columns}

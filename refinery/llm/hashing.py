@@ -11,9 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refinery.llm.common import release_worker_cache
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -135,16 +138,17 @@ def as_long(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
 
-def text_batches(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
-    """The texts of a batch in slices of about ``most`` characters, with the number of the first row."""
-    texts, start, size = batch.column(text).to_pylist(), 0, 0
-    for n, value in enumerate(texts):
-        size += len(value or "")
-        if size >= most:
-            yield start, texts[start : n + 1]
-            start, size = n + 1, 0
-    if start < len(texts):
-        yield start, texts[start:]
+def text_batches(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+    """The texts of a batch in slices of about ``most`` bytes, with the number of the first row."""
+    release_worker_cache()
+    column = batch.column(text)
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64))
+    start = 0
+    while start < len(column):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, column.slice(start, stop - start).to_pylist()
+        start = stop
 
 
 def hash_filter(hashes: DataFrame, bits: int = 23) -> np.ndarray:
