@@ -1,12 +1,16 @@
-"""Substring dedup: paragraphs that repeat, alike or nearly so, found by MinHash banding.
+"""Substring dedup: paragraphs that repeat, alike or nearly so, found by MinHash banding, and passages word for word.
 
-The paragraphs of a document are its lines with enough words. Paragraphs whose MinHash agrees in all
+The paragraphs of a document are its lines with enough words, and its runs of shorter lines. Paragraphs whose MinHash agrees in all
 rows of a band collide, colliding ones are compared exactly, and the components of those that are
 alike are the groups of which one paragraph stays.
 
 Variants of one paragraph may collide in thousands without being alike enough. So a band's paragraphs
 are compared with one of them only, and those that this leaves in different components are joined by
 the rarest shingles of their sets, which variants do not share.
+
+What repeats inside or across paragraphs is found by windows of words over the whole text, whatever
+its lines are. The smallest hash of half a window names it (winnowing): a window that repeats has a
+name that repeats, so only windows with such a name leave their task and are counted.
 """
 
 from __future__ import annotations
@@ -22,7 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import free_name, keep_on_disk
-from refinery.llm.hashing import BY_PUNCTUATION, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
+from refinery.llm.hashing import (
+    BY_PUNCTUATION,
+    Words,
+    as_long,
+    hash_filter,
+    in_filter,
+    mix,
+    run_hashes,
+    text_batches,
+    words_of,
+)
 from refinery.llm.jaccard import Settings as JaccardSettings
 from refinery.llm.jaccard import KEYS, jaccard_links
 from refinery.llm.linking import ROUNDS, connected_components, link_to_leaders, shared_only, still_open
@@ -31,6 +45,7 @@ from refinery.llm.linking import ROUNDS, connected_components, link_to_leaders,
 @dataclass(frozen=True)
 class Settings:
     """Paragraphs of ``least_words`` or more are compared by shingles of ``n`` words, at ``percent`` Jaccard.
+    Passages of ``passage_words`` (an even number) or more repeat word for word.
 
     ``recall`` is the share of pairs at the threshold that must collide, ``stray`` the share of
     pairs at a similarity of 0.3 that may.
@@ -41,6 +56,7 @@ class Settings:
     least_words: int = 20
     recall: float = 0.995
     stray: float = 0.2
+    passage_words: int = 50
 
 
 @lru_cache
@@ -56,7 +72,7 @@ def tune_bands(threshold: float, recall: float, stray: float) -> tuple[int, int]
 
 @dataclass
 class Paragraphs:
-    """The long enough lines of a batch of texts, with the hashes of their shingles end to end."""
+    """The paragraphs of a batch of texts, with the hashes of their shingles end to end."""
 
     row: list[int]
     number: list[int]
@@ -68,30 +84,38 @@ class Paragraphs:
 
 
 def paragraphs(texts: list[str | None], settings: Settings) -> Paragraphs:
+    """Lines with enough words; shorter lines in a row, up to one without words, are a paragraph together."""
     row, number, start, lines = [], [], [], []
-    least = 2 * settings.least_words - 1  # that many words have so many characters
     for k, text in enumerate(texts):
         at = 0
         for j, line in enumerate((text or "").split("\n")):
-            if len(line) >= least:
-                row.append(k)
-                number.append(j)
-                start.append(at)
-                lines.append(line)
+            row.append(k)
+            number.append(j)
+            start.append(at)
+            lines.append(line)
             at += len(line) + 1
     w = words_of(lines, BY_PUNCTUATION)
+    least = max(settings.least_words, settings.n)
     counts = np.diff(w.first)
-    keep = np.flatnonzero(counts >= max(settings.least_words, settings.n))
+    short = (counts > 0) & (counts < least)
+    joins = np.zeros(len(lines), dtype=bool)
+    joins[1:] = short[1:] & short[:-1] & (np.diff(np.array(row, dtype=np.int64)) == 0)
+    heads = np.flatnonzero(~joins)
+    tails = np.append(heads[1:], len(lines)) - 1 if len(heads) else heads
+    counts = w.first[tails + 1] - w.first[heads]
+    keep = np.flatnonzero(counts >= least)
+    heads, tails = heads[keep], tails[keep]
     runs = run_hashes(w.hashes, settings.n)
     size = counts[keep] - settings.n + 1
     bounds = np.append(0, np.cumsum(size))
-    shingles = runs[np.repeat(w.first[keep] - bounds[:-1], size) + np.arange(bounds[-1])]
+    shingles = runs[np.repeat(w.first[heads] - bounds[:-1], size) + np.arange(bounds[-1])]
     # The order of the words counts for the key, so that only equal paragraphs share it.
     place = mix(np.arange(bounds[-1], dtype=np.uint64) - np.repeat(bounds[:-1], size).astype(np.uint64))
     keys = np.add.reduceat(mix(shingles ^ place), bounds[:-1]) if len(keep) else shingles[:0]
-    pick = keep.tolist()
+    pick = heads.tolist()
+    held = ["\n".join(lines[a : b + 1]) for a, b in zip(pick, tails.tolist(), strict=True)]
     return Paragraphs(
-        [row[k] for k in pick], [number[k] for k in pick], [start[k] for k in pick], [lines[k] for k in pick],
+        [row[k] for k in pick], [number[k] for k in pick], [start[k] for k in pick], held,
         mix(keys), shingles, bounds,
     )
 
@@ -194,11 +218,213 @@ def alike(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(check, "a long, b long")
 
 
+@dataclass
+class Windows:
+    """The words of a batch of texts and, by first word, its windows: their names and whether they lie in one text."""
+
+    half: int
+    words: Words
+    starts: np.ndarray  # of the words, in code points of their text
+    ends: np.ndarray
+    halves: np.ndarray
+    names: np.ndarray
+    inside: np.ndarray
+
+    def hashes(self, at: np.ndarray) -> np.ndarray:
+        """Of the windows at these words; a window is two halves."""
+        return mix(mix(self.halves[at]) + self.halves[at + self.half])
+
+
+def windows_of(texts: list[str], settings: Settings) -> Windows:
+    half = settings.passage_words // 2
+    w = words_of(texts, BY_PUNCTUATION)
+    points = np.append(0, np.cumsum((w.data & 0xC0) != 0x80))
+    offsets = np.cumsum([0, *(len(text.encode()) + 1 for text in texts)])
+    before = points[offsets[w.text]]
+    halves = run_hashes(w.hashes, half)
+    # The least of half + 1 hashes in a row, from those of 1, 2, 4, ... in a row.
+    names, reach = halves, 1
+    while 2 * reach <= half + 1:
+        names = np.minimum(names[:-reach], names[reach:])
+        reach *= 2
+    if rest := half + 1 - reach:
+        names = np.minimum(names[:-rest], names[rest:])
+    at = np.arange(len(names))
+    inside = w.text[at] == w.text[at + 2 * half - 1]
+    names = mix(names)  # the least of many have few upper parts, which the filter goes by
+    return Windows(half, w, points[w.starts] - before, points[w.ends] - before, halves, names, inside)
+
+
+def shared_names(texts: DataFrame, settings: Settings) -> np.ndarray:
+    """The filter of the names that occur in more than one place."""
+    reach = settings.passage_words // 2 + 1
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, some in text_batches(batch, "text"):
+                w = windows_of([text or "" for text in some], settings)
+                at = np.flatnonzero(w.inside)
+                # Windows in a row with one name are one place, unless there are more than can hold it.
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = (w.names[at[1:]] != w.names[at[:-1]]) | (w.words.text[at[1:]] != w.words.text[at[:-1]])
+                firsts = np.flatnonzero(new)
+                places = -(-np.diff(np.append(firsts, len(at))) // reach)
+                keys, back = np.unique(w.names[at[firsts]], return_inverse=True)
+                counts = np.bincount(back, weights=places, minlength=len(keys)).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"key": as_long(keys), "n": counts})
+
+    counted = texts.select("text").mapInArrow(name, "key long, n long")
+    return hash_filter(counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
+
+
+def _covered(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which of ``size`` places lie in one of the ranges, whose ends count."""
+    steps = np.zeros(size + 1, dtype=np.int64)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, last + 1, -1)
+    return np.cumsum(steps)[:size] > 0
+
+
+def _gone(w: Windows, spans: list[list[dict] | None]) -> np.ndarray:
+    """Which words lie in a span of their text."""
+    out = np.zeros(len(w.starts), dtype=bool)
+    for k, listed in enumerate(spans):
+        a, b = w.words.first[k], w.words.first[k + 1]
+        for span in listed or ():
+            low, high = np.searchsorted(w.starts[a:b], [span["start"], span["end"]])
+            out[a + low : a + high] = True
+    return out
+
+
+PASSAGES = "doc_id long, paragraph int, start int, end int, keep boolean, link long, names array<long>"
+
+
+def repeated_passages(texts: DataFrame, gone: DataFrame, settings: Settings) -> DataFrame:
+    """A row per passage of ``settings.passage_words`` words or more that stands elsewhere too, word for word.
+
+    ``gone`` has the spans (doc_id, start, end) that are dropped already; their words are not reported
+    again. Of the windows with the same words one stays: one that touches no such span if there is,
+    and the first by (doc_id, start) of these. A passage is a run of words in windows that stay, or
+    of words in others only, so every window that is dropped stays whole elsewhere. Passages with a common
+    name of a window are one component, which may keep several passages.
+
+    Copies within one text that overlap by more than half are not looked for. Texts are read twice in
+    place; only those with a shared name are shuffled.
+    """
+    spark, size = texts.sparkSession, settings.passage_words
+    texts = texts.where("doc_id IS NOT NULL")
+    sent = spark.sparkContext.broadcast(shared_names(texts, settings))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, part in text_batches(batch, "text"):
+                w = windows_of([text or "" for text in part], settings)
+                at = np.flatnonzero(w.inside)
+                rows = np.unique(w.words.text[at[in_filter(sent.value, w.names[at])]])
+                yield batch.slice(first, len(part)).take(pa.array(rows, pa.int64()))
+
+    dropped = gone.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+    held = texts.select("doc_id", "text").mapInArrow(some, "doc_id long, text string")
+    held = held.join(dropped, "doc_id", "left").withColumn("row", F.monotonically_increasing_id())
+    held = keep_on_disk(held, "texts-with-passages")
+
+    def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, part in text_batches(batch, "text"):
+                w = windows_of([text or "" for text in part], settings)
+                taken = np.append(0, np.cumsum(_gone(w, batch["gone"].slice(first, len(part)).to_pylist())))
+                at = np.flatnonzero(w.inside)
+                inside = taken[at + size] - taken[at]
+                at = at[(inside < size) & in_filter(sent.value, w.names[at])]
+                text = w.words.text[at]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "row": np.asarray(batch["row"])[first + text],
+                        "doc_id": np.asarray(batch["doc_id"])[first + text],
+                        "at": (at - w.words.first[text]).astype(np.int32),
+                        "hash": as_long(w.hashes(at)),
+                        "touched": taken[at + size] > taken[at],
+                    }
+                )
+
+    shown = held.mapInArrow(show, "row long, doc_id long, at int, hash long, touched boolean")
+    shown = keep_on_disk(shown, "windows")
+    groups = (
+        shown.groupBy("hash")
+        .agg(F.count("*").alias("n"), F.min(F.struct("touched", "doc_id", "at")).alias("first"))
+        .where("n > 1")
+    )
+    stays = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))
+    hits = shown.join(groups, "hash").groupBy("row").agg(F.collect_list(F.struct("at", stays.alias("keep"))).alias("hits"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {name: [] for name in ("doc_id", "paragraph", "start", "end", "keep", "link", "names")}
+            for n in range(batch.num_rows):
+                text = batch["text"][n].as_py()
+                w = windows_of([text], settings)
+                marks = batch["hits"][n].values
+                at, keep = np.asarray(marks.field("at")), marks.field("keep").to_numpy(zero_copy_only=False)
+                words = len(w.starts)
+                free = ~_gone(w, [batch["gone"][n].as_py()])
+                stay = _covered(words, at[keep], at[keep] + size - 1)
+                state = np.where(free & _covered(words, at, at + size - 1), 1 + stay, 0)
+                # Words that windows cover without a break have one link.
+                order = np.sort(at)
+                chains = np.split(order, np.flatnonzero(np.diff(order) > size - 1) + 1)
+                opens = np.array([chain[0] for chain in chains])
+                linked = [np.unique(as_long(w.names[chain])) for chain in chains]
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], state, [0]])))
+                begins = np.unique(np.concatenate([edges, opens]))
+                for a, b in zip(begins, np.append(begins[1:], words), strict=True):
+                    if a < words and state[a]:
+                        chain = linked[int(np.searchsorted(opens, a, side="right")) - 1]
+                        out["doc_id"].append(batch["doc_id"][n].as_py())
+                        out["paragraph"].append(text.count("\n", 0, int(w.starts[a])))
+                        out["start"].append(int(w.starts[a]))
+                        out["end"].append(int(w.ends[b - 1]))
+                        out["keep"].append(bool(state[a] == 2))
+                        out["link"].append(int(chain[0]))
+                        out["names"].append(chain.tolist())
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, type=t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out)
+            )
+
+    found = keep_on_disk(held.join(hits, "row").select("doc_id", "text", "gone", "hits").mapInArrow(cut, PASSAGES), "passages")
+    linked = connected_components(found.select(F.col("link").alias("a"), F.explode("names").alias("b")))
+    return found.join(linked, F.col("link") == F.col("node"), "left").select(
+        "doc_id", "paragraph", "start", "end", F.coalesce("component", "link").alias("component_id"), "keep"
+    )
+
+
+def cut_spans(text: str, spans: list[dict]) -> str:
+    """The text without the spans; lines that lie in one are left out, with their ends."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        end, left, done, whole = at + len(line), [], at, False
+        for a, b in sorted((s["start"], s["end"]) for s in spans):
+            if b <= at or a >= end:
+                whole |= a < at and end < b
+                continue
+            whole |= a <= at and end <= b
+            if a > done:
+                left.append(text[done:a])
+            done = max(done, min(b, end))
+        if not whole:
+            out.append("".join([*left, text[done:end]]))
+        at = end + 1
+    return "\n".join(out)
+
+
 def repeated_paragraphs(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
-    """A row per paragraph that occurs elsewhere too: ``doc_id``, ``paragraph``, ``start``, ``end``,
-    ``component_id`` and ``keep``, true for the first of each component by (doc_id, start).
+    """A row per paragraph or passage that occurs elsewhere too: ``doc_id``, ``paragraph`` (the line it starts
+    in), ``start``, ``end``, ``component_id`` and ``keep``.
+
+    Of the paragraphs of a component the first by (doc_id, start) is kept. Passages follow, see
+    :func:`repeated_passages`; they may lie in a paragraph that is kept, never in one that is not.
 
     Equal paragraphs are one node from the start, however many there are. Nodes that share a band
     meet the band's leader and are compared on their whole texts; bands whose nodes are in several
@@ -234,7 +460,7 @@ def repeated_paragraphs(
         .agg(F.count("*").alias("members"), F.min(F.struct("doc_id", "start")).alias("first"))
         .where("members > 1")
     )
-    return placed.join(groups, "component_id").select(
+    found = placed.join(groups, "component_id").select(
         "doc_id",
         "paragraph",
         "start",
@@ -242,14 +468,21 @@ def repeated_paragraphs(
         "component_id",
         ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))).alias("keep"),
     )
+    found = keep_on_disk(found, "repeated-paragraphs")
+    return found.unionByName(repeated_passages(texts, found.where("NOT keep"), settings))
 
 
 def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with the paragraphs that do not stay cut from the texts, all columns as they were."""
+    """``docs`` with the paragraphs and passages that do not stay cut from the texts, all columns as they were."""
     gone = repeated_paragraphs(docs, id=id, text=text, **options).where(~F.col("keep"))
     name = free_name(docs, "_gone")
-    lines = gone.groupBy(F.col("doc_id").alias(name + "id")).agg(F.collect_set("paragraph").alias(name))
-    joined = docs.join(lines, docs[id].cast("long") == lines[name + "id"], "left")
-    kept = F.filter(F.split(docs[text], "\n", -1), lambda _, k: ~F.array_contains(F.col(name), k))
-    cut = F.when(F.col(name).isNull(), docs[text]).otherwise(F.array_join(kept, "\n"))
+    spans = gone.groupBy(F.col("doc_id").alias(name + "id")).agg(F.collect_set(F.struct("start", "end")).alias(name))
+    joined = docs.join(spans, docs[id].cast("long") == spans[name + "id"], "left")
+
+    def batch(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        pairs = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
+        return pa.array([cut_spans(t, s) if t and s else t for t, s in pairs], type=pa.string())
+
+    batch.__annotations__ = {"texts": pa.Array, "spans": pa.Array, "return": pa.Array}
+    cut = F.when(F.col(name).isNull(), docs[text]).otherwise(F.arrow_udf(batch, "string")(docs[text], F.col(name)))
     return joined.select(*(cut.alias(c) if c == text else docs[c] for c in docs.columns))

@@ -101,6 +101,47 @@ def test_repeated_paragraphs(spark):
     assert sorted((r["doc_id"], r["paragraph"]) for r in out if r["keep"]) == sorted({want[x] for x in found})
 
 
+def fresh(prefix, n):
+    return [f"{prefix}{k}" for k in range(n)]
+
+
+def test_passages_inside_lines_and_across_them(spark):
+    inner, wrapped, near = fresh("p", 60), fresh("q", 60), fresh("n", 60)
+    lines = lambda ws, n: "\n".join(" ".join(ws[k : k + n]) for k in range(0, len(ws), n))
+    changed = [*near[:30], "x", *near[31:]]
+    rows = [
+        (1, "é " + " ".join(fresh("a", 40) + inner + fresh("b", 40))),
+        (2, " ".join(fresh("c", 40) + inner + fresh("d", 40))),
+        (3, "é one\n\n" + lines(wrapped, 12)),
+        (4, " ".join(fresh("e", 70)) + "\n\n" + lines(wrapped, 9)),
+        (5, " ".join(fresh("f", 30) + wrapped + fresh("g", 90))),
+        (6, lines(near, 12)),
+        (7, lines(changed, 12)),
+        (8, " ".join(fresh("h", 20) + inner[:49] + fresh("i", 20))),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = repeats.repeated_paragraphs(docs).collect()
+    texts = dict(rows)
+    said = {(r["doc_id"], " ".join(texts[r["doc_id"]][r["start"] : r["end"]].split()), r["keep"]) for r in out}
+    assert said == {
+        (1, " ".join(inner), True), (2, " ".join(inner), False),
+        (3, " ".join(wrapped), True), (4, " ".join(wrapped), False), (5, " ".join(wrapped), False),
+        (6, " ".join(near), True), (7, " ".join(changed), False),
+    }
+    left = {r["doc_id"]: r["text"].split() for r in repeats.without_repeats(docs).collect()}
+    assert left[2] == fresh("c", 40) + fresh("d", 40)
+    assert left[5] == fresh("f", 30) + fresh("g", 90) and left[7] == []
+    assert all(left[k] == texts[k].split() for k in (1, 3, 6, 8))
+
+
+def test_every_repeated_window_is_kept_once(spark):
+    a, b = fresh("a", 55), fresh("b", 55)
+    rows = [(1, " ".join(fresh("x", 60) + a)), (2, " ".join(b + fresh("y", 60))), (3, " ".join(a + fresh("z", 40) + b))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r["doc_id"]: r["text"].split() for r in repeats.without_repeats(docs).collect()}
+    assert left == {1: rows[0][1].split(), 2: rows[1][1].split(), 3: fresh("z", 40)}
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.9):
         bands, rows = repeats.tune_bands(threshold, 0.99, 0.2)
