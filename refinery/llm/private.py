@@ -78,6 +78,11 @@ _dots = frozenset(word.encode() for word in DOT.split("|"))
 _parts = {word.encode(): 1 for word in [*SPELLED, *DOT.split("|"), *PLUS.split("|")]}
 _alikes = frozenset(ALIKE)
 _figure = re.compile("[0-9]")
+# The second alternatives of _at and _dot by themselves.
+_at_domain = re.compile(
+    rf"(?<=[A-Za-z0-9])\s++(?:{AT})\s+(?=[A-Za-z0-9-]+\s*[\[({{<]?\s*(?:\.|{DOT})\s*[\])}}>]?\s*[A-Za-z0-9])", re.IGNORECASE
+)
+_dot_word = re.compile(rf"(?<=[A-Za-z0-9])\s++(?:{DOT})\s+(?=[A-Za-z0-9])", re.IGNORECASE)
 _bracketed = re.compile(rf"[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]", re.IGNORECASE)
 
 
@@ -150,10 +155,21 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     return pieces
 
 
+def has_signs(text: str) -> bool:
+    """Whether the text may hold a written sign; never false where it does."""
+    if "@" in text or any(map(text.__contains__, "[({<")) and _bracketed.search(text):
+        return True
+    if not _dots.isdisjoint(plain_words(text)) or _at_domain.search(text):
+        return True
+    # Blanks and letters beyond ASCII do not part words above.
+    return not text.isascii() and _dot_word.search(text) is not None
+
+
 def written_signs(text: str) -> list[tuple[int, int, str]]:
-    brackets = any(map(text.__contains__, "[({<")) and _bracketed.search(text)
-    if not brackets and "@" not in text and _dots.isdisjoint(plain_words(text)):
-        return []
+    return all_signs(text) if has_signs(text) else []
+
+
+def all_signs(text: str) -> list[tuple[int, int, str]]:
     pieces: list[tuple[int, int, str]] = []
     marks = [(*m.span(), "@") for m in _at.finditer(text)] + [(*m.span(), ".") for m in _dot.finditer(text)]
     for start, end, new in sorted(marks):

@@ -107,6 +107,20 @@ def test_disguises_are_found_and_mapped_back(text, kind, said):
     assert ("hidden_" + kind, said) in [(k, text[a:b]) for k, a, b, _ in spans]
 
 
+def test_at_before_a_plain_domain():
+    text = "write to jane at example.com please"
+    assert [(k, text[a:b]) for k, a, b, _ in private.find_private(text)] == [("hidden_email", "jane at example.com")]
+
+
+SIGN_PARTS = ["jane", "x", " ", " ", "\u2003", " at ", " AT", "chez", "arroba ", "dot", " Punkt ", "punto", ".", "com", "@", "[", "]", "(", ")", "<", "-", "é", "\n"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(texts(SIGN_PARTS))
+def test_the_shortcut_for_written_signs_loses_none(text):
+    assert private.written_signs(text) == private.all_signs(text)
+
+
 @pytest.mark.parametrize(
     "text",
     ["we meet at noon. The dot is red", "look at the one two punch", "un deux trois, quatre amis", "a – b at c", ""],
