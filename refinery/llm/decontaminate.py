@@ -47,54 +47,84 @@ def _in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
+PLAIN, OPENERS, WORDS = range(3)  # the readings
+_SALTS = mix(np.arange(3, dtype=np.uint64)) * np.array([0, 1, 1], dtype=np.uint64)
+_CAPITALS = np.array([0x80 <= c < 0x10000 and chr(c).isupper() for c in range(0x10000)])
+
+
 @dataclass
 class Canonical:
-    """Canonical tokens of a batch of texts: hash, kind, value of the slot, number of the text."""
+    """Canonical tokens of a batch of texts: hash, kind, value of the slot, number of the text, word of the text."""
 
     hashes: np.ndarray
     kinds: np.ndarray
     values: np.ndarray
     text: np.ndarray
+    word: np.ndarray
 
 
-def canonical(texts: list[str | None]) -> Canonical:
-    """Placeholders for numbers, for units behind one, and for capitalised words inside a sentence.
+def _capital(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Words that start with a capital and go on, not with another one of ASCII."""
+    head, second, third = (data[np.minimum(starts + k, len(data) - 1)].astype(np.int64) for k in range(3))
+    size = np.where(head >= 0xF0, 4, np.where(head >= 0xE0, 3, np.where(head >= 0xC0, 2, 1)))
+    point = np.where(size == 2, (head & 31) << 6 | second & 63, (head & 15) << 12 | (second & 63) << 6 | third & 63)
+    capital = ((head >= 0x41) & (head <= 0x5A)) | (((size == 2) | (size == 3)) & _CAPITALS[point])
+    after = data[np.minimum(starts + size, len(data) - 1)]
+    return capital & (ends - starts > size) & ~((after >= 0x41) & (after <= 0x5A))
+
+
+def readings(texts: list[str | None]) -> list[Canonical]:
+    """Placeholders for numbers, for units behind one, and for capitalised words inside a sentence; in the
+    second reading for those that open a sentence too, in the third for nothing.
 
     Numbers in a row are one slot, and so are names in a row.
     """
     w = words_of(texts, BY_PUNCTUATION, split_digits=True, all_letters=True)
     n = len(w.starts)
-    kinds = np.zeros(n, dtype=np.uint8)
+    place = np.arange(n) - w.first[w.text]
+    literal = Canonical(w.hashes, np.zeros(n, dtype=np.uint8), w.hashes, w.text, place)
     if not n:
-        return Canonical(w.hashes, kinds, w.hashes, w.text)
+        return [literal, literal, literal]
     opening = np.ones(n, dtype=bool)
     opening[1:] = w.text[1:] != w.text[:-1]
     head = w.data[w.starts]
-    second = w.data[np.minimum(w.starts + 1, len(w.data) - 1)]
-    capital = (head >= 0x41) & (head <= 0x5A) & (w.ends - w.starts > 1) & ~((second >= 0x41) & (second <= 0x5A))
+    capital = _capital(w.data, w.starts, w.ends)
     sentence = opening.copy()
     sentence[1:] |= _SENTENCE_END[w.data[w.ends[:-1]]] | _SENTENCE_END[w.data[w.starts[1:] - 1]]
-    kinds[capital & ~sentence] = NAME
-    kinds[((head >= 0x30) & (head <= 0x39)) | _in(w.hashes, _numbers)] = NUMBER
-    behind = np.flatnonzero(kinds == NUMBER) + 1
+    number = ((head >= 0x30) & (head <= 0x39)) | _in(w.hashes, _numbers)
+    behind = np.flatnonzero(number) + 1
     behind = behind[behind < n]
-    behind = behind[~opening[behind] & (kinds[behind] != NUMBER)]
-    kinds[behind[_in(w.hashes[behind], _units)]] = UNIT
+    behind = behind[~opening[behind] & ~number[behind]]
+    unit = behind[_in(w.hashes[behind], _units)]
+
+    out = []
+    for named in (capital & ~sentence, capital):
+        kinds = np.zeros(n, dtype=np.uint8)
+        kinds[named] = NAME
+        kinds[number] = NUMBER
+        kinds[unit] = UNIT
+        same = np.zeros(n, dtype=bool)
+        same[1:] = ((kinds[1:] == NUMBER) | (kinds[1:] == NAME)) & (kinds[1:] == kinds[:-1]) & ~opening[1:]
+        if named is capital:  # a name that opens a sentence is another one than the name before it
+            same &= ~(sentence & (kinds == NAME))
+        firsts = np.flatnonzero(~same)
+        lasts = np.append(firsts[1:], n) - 1
+        kinds, values = kinds[firsts], w.hashes[firsts]
+        hashes = np.where(kinds == LITERAL, values, _MARKS[kinds])
+        for k in np.flatnonzero((lasts > firsts) & (kinds != LITERAL)):
+            values[k] = mix(run_hashes(w.hashes[firsts[k] : lasts[k] + 1], int(lasts[k] - firsts[k] + 1)))[0]
+        out.append(Canonical(hashes, kinds, values, w.text[firsts], place[firsts]))
+    return [*out, literal]
+
 
-    same = np.zeros(n, dtype=bool)
-    same[1:] = ((kinds[1:] == NUMBER) | (kinds[1:] == NAME)) & (kinds[1:] == kinds[:-1]) & ~opening[1:]
-    firsts = np.flatnonzero(~same)
-    lasts = np.append(firsts[1:], n) - 1
-    kinds, values = kinds[firsts], w.hashes[firsts]
-    hashes = np.where(kinds == LITERAL, values, _MARKS[kinds])
-    for k in np.flatnonzero((lasts > firsts) & (kinds != LITERAL)):
-        values[k] = mix(run_hashes(w.hashes[firsts[k] : lasts[k] + 1], int(lasts[k] - firsts[k] + 1)))[0]
-    return Canonical(hashes, kinds, values, w.text[firsts])
+def canonical(texts: list[str | None]) -> Canonical:
+    """The first reading."""
+    return readings(texts)[PLAIN]
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Windows of ``window`` tokens with ``literals`` words at least.
+    """Windows of ``window`` tokens with ``literals`` words at least, or as many as there are read word for word.
 
     Items with fewer tokens, but ``least`` or more, are one window. An item is leaked if
     ``windows`` of its windows or a ``coverage`` of them are found with consistent slots.
@@ -108,12 +138,14 @@ class Settings:
     filter_bits: int = 23
 
 
-WINDOWS = "id long, size int, position long, hash long, slots array<long>"
+WINDOWS = "id long, size int, reading int, position long, word long, hash long, slots array<long>"
 _ARROW = pa.schema(
     [
         ("id", pa.int64()),
         ("size", pa.int32()),
+        ("reading", pa.int32()),
         ("position", pa.int64()),
+        ("word", pa.int64()),
         ("hash", pa.int64()),
         ("slots", pa.list_(pa.int64())),
     ]
@@ -129,23 +161,34 @@ def _windows(tokens: Canonical, size: int, literals: int) -> tuple[np.ndarray, n
     return at[good], hashes[good]
 
 
-def _rows(ids: np.ndarray, tokens: Canonical, at: np.ndarray, hashes: np.ndarray, size: int) -> pa.RecordBatch:
+def _rows(
+    ids: np.ndarray, tokens: Canonical, reading: int, at: np.ndarray, hashes: np.ndarray, size: int
+) -> pa.RecordBatch:
     opening = np.searchsorted(tokens.text, tokens.text[at])
     slots = [as_long(tokens.values[a : a + size][tokens.kinds[a : a + size] != LITERAL]) for a in at]
-    columns = [ids[tokens.text[at]], np.full(len(at), size, np.int32), at - opening, as_long(hashes), slots]
+    columns = [
+        ids[tokens.text[at]], np.full(len(at), size), np.full(len(at), reading),
+        at - opening, tokens.word[at], as_long(hashes), slots,
+    ]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW
     )
 
 
-def _literals(size: int, settings: Settings) -> int:
-    return -(-settings.literals * size // settings.window)
+def _read(
+    tokens: Canonical, reading: int, size: int, settings: Settings
+) -> tuple[np.ndarray, np.ndarray]:
+    """First tokens and hashes of a reading's windows."""
+    least = 0 if reading == WORDS else -(-settings.literals * size // settings.window)
+    at, hashes = _windows(tokens, size, least)
+    return at, hashes ^ _SALTS[reading]
 
 
-def _identified(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Canonical]]:
+def _identified(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int, Canonical]]:
     ids = np.asarray(batch.column("id"), dtype=np.int64)
     for start, texts in text_batches(batch, "text"):
-        yield ids[start : start + len(texts)], canonical(texts)
+        for reading, tokens in enumerate(readings(texts)):
+            yield ids[start : start + len(texts)], reading, tokens
 
 
 def item_windows(benchmark: DataFrame, settings: Settings) -> DataFrame:
@@ -153,14 +196,14 @@ def item_windows(benchmark: DataFrame, settings: Settings) -> DataFrame:
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, tokens in _identified(batch):
+            for ids, reading, tokens in _identified(batch):
                 counts = np.bincount(tokens.text, minlength=len(ids))
                 for size in range(settings.least, settings.window + 1):
-                    at, hashes = _windows(tokens, size, _literals(size, settings))
+                    at, hashes = _read(tokens, reading, size, settings)
                     short = counts[tokens.text[at]] == size
                     keep = short if size < settings.window else np.ones(len(at), dtype=bool)
                     if keep.any():
-                        yield _rows(ids, tokens, at[keep], hashes[keep], size)
+                        yield _rows(ids, tokens, reading, at[keep], hashes[keep], size)
 
     return benchmark.mapInArrow(windows, WINDOWS)
 
@@ -172,12 +215,12 @@ def document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray, settin
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
         for batch in batches:
-            for ids, tokens in _identified(batch):
+            for ids, reading, tokens in _identified(batch):
                 for size in sizes:
-                    at, hashes = _windows(tokens, size, _literals(size, settings))
+                    at, hashes = _read(tokens, reading, size, settings)
                     hit = in_filter(table, hashes)
                     if hit.any():
-                        yield _rows(ids, tokens, at[hit], hashes[hit], size)
+                        yield _rows(ids, tokens, reading, at[hit], hashes[hit], size)
 
     return docs.mapInArrow(windows, WINDOWS)
 
@@ -195,7 +238,8 @@ def leaks(
     """Pairs of a document and a benchmark item that it holds a passage of.
 
     Gives ``doc_id``, ``item_id``, ``windows`` (different ones found), ``coverage`` (of the item's
-    windows) and ``verbatim`` (whether all slots have the item's own values).
+    windows) and ``verbatim`` (whether all slots have the item's own values), by the first of the
+    :func:`readings` that shows the leak.
 
     Documents are read once, in place. A filter of fixed size keeps windows that no item has from
     leaving their task; what passes it is joined with the items' windows by hash, so the result is
@@ -213,37 +257,55 @@ def leaks(
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
     ours = document_windows(texts, sizes, bits, settings)
 
-    totals = theirs.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("size", "position").alias("total"))
-    named = theirs.select(
-        F.col("id").alias("item_id"), "size", F.col("position").alias("item_position"), "hash", F.col("slots").alias("said")
+    totals = theirs.groupBy(F.col("id").alias("item_id"), "reading").agg(
+        F.countDistinct("size", "position").alias("total")
     )
-    met = ours.withColumnRenamed("id", "doc_id").join(named, ["hash", "size"])
+    named = theirs.select(
+        F.col("id").alias("item_id"), "size", "reading", F.col("position").alias("item_position"),
+        F.col("word").alias("item_word"), "hash", F.col("slots").alias("said"),
+    )
+    met = ours.withColumnRenamed("id", "doc_id").join(named, ["hash", "size", "reading"])
     met = met.select(
-        "doc_id", "item_id", "item_position", (F.col("position") - F.col("item_position")).alias("shift"), "slots", "said"
+        "doc_id",
+        "item_id",
+        "reading",
+        "item_position",
+        (F.col("position") - F.col("item_position")).alias("shift"),
+        (F.col("word") - F.col("item_word")).alias("word_shift"),
+        "slots",
+        "said",
     )
     paired = F.arrays_zip(F.col("said").alias("a"), F.col("slots").alias("b"))
-    slots = met.select("doc_id", "item_id", "shift", F.explode(paired).alias("slot")).distinct()
+    place = ["doc_id", "item_id", "reading", "shift"]
+    slots = met.select(*place, "word_shift", F.explode(paired).alias("slot"))
     torn = (
-        slots.groupBy("doc_id", "item_id", "shift")
+        slots.groupBy(*place)
         .agg(
-            F.count("*").alias("pairs"),
+            F.countDistinct("slot").alias("pairs"),
             F.countDistinct("slot.a").alias("theirs"),
             F.countDistinct("slot.b").alias("ours"),
+            F.collect_set("word_shift").alias("word_shifts"),
         )
         .where("pairs <> theirs OR pairs <> ours")
-        .select("doc_id", "item_id", "shift")
+    )
+    # Word for word, windows count where the first reading has no contradiction in the same alignment of words.
+    torn = torn.select(*place).union(
+        torn.where(F.col("reading") == PLAIN).select(
+            "doc_id", "item_id", F.lit(WORDS).alias("reading"), F.explode("word_shifts").alias("shift")
+        )
     )
     found = (
-        met.join(torn, ["doc_id", "item_id", "shift"], "left_anti")
-        .groupBy("doc_id", "item_id")
+        met.join(torn.distinct(), place, "left_anti")
+        .groupBy("doc_id", "item_id", "reading")
         .agg(F.countDistinct("item_position").alias("windows"), F.min(F.expr("said = slots")).alias("verbatim"))
-        .join(totals, "item_id")
-    )
-    return (
-        found.withColumn("coverage", F.col("windows") / F.col("total"))
+        .join(totals, ["item_id", "reading"])
+        .withColumn("coverage", F.col("windows") / F.col("total"))
         .where((F.col("windows") >= settings.windows) | (F.col("coverage") >= settings.coverage))
-        .select("doc_id", "item_id", "windows", "coverage", "verbatim")
     )
+    best = found.groupBy("doc_id", "item_id").agg(
+        F.min_by(F.struct("windows", "coverage", "verbatim"), "reading").alias("best")
+    )
+    return best.select("doc_id", "item_id", "best.windows", "best.coverage", "best.verbatim")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", **options) -> DataFrame:

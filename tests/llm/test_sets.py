@@ -183,6 +183,31 @@ def test_slots_must_be_consistent(spark):
     assert out == {1: True, 2: False}
 
 
+@pytest.mark.parametrize(
+    ("item", "text", "verbatim"),
+    [
+        ("Tom has 5 apples. Mary has 3 apples. How many apples do they have?",
+         "Jack has 7 apples. Lucy has 9 apples. How many apples do they have?", False),
+        ("Then Émile gave 5 of his red marbles to a friend. Ödön took 2 of them home to his brother.",
+         "Then Óscar gave 8 of his red marbles to a friend. Jack took 3 of them home to his brother.", False),
+        ("Solve: 3x + 4y = 12, 5x - 2y = 7.", "Now. Solve: 3x + 4y = 12, 5x - 2y = 7. Done", True),
+    ],
+)
+def test_leaks_with_opening_names_and_with_few_words(spark, item, text, verbatim):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert [r["verbatim"] for r in decontaminate.leaks(docs, items).collect()] == [verbatim]
+
+
+def test_opening_names_must_be_consistent(spark):
+    item = "Tom bought 5 ripe red apples. Tom then sold 3 green ones."
+    other = item.replace("5", "7").replace("3", "9").replace("Tom", "Jack", 1)
+    texts = [(1, other.replace("Tom", "Jack")), (2, other.replace("Tom", "Lucy"))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.leaks(docs, items).collect()] == [1]
+
+
 def test_placeholders():
     kinds = decontaminate.canonical(["On Monday Anna Smith ran 5km, then 1,200.5 meters in twenty minutes."]).kinds.tolist()
     literal, number, name, unit = range(4)
