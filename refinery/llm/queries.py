@@ -73,13 +73,21 @@ def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-def op6_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+def _mean_scores(spark: SparkSession, folder: str, settings: language_model.Settings) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    scored = language_model.with_backoff_scores(docs).drop("text")
+    scored = language_model.with_backoff_scores(docs, settings=settings).drop("text")
     mean = F.col("lm.log_score") / F.greatest(F.col("lm.words"), F.lit(1))
     return scored.select("doc_id", F.col("lm.words").alias("n_words"), F.round(mean, 6).alias("mean_log_score"))
 
 
+def op6_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return _mean_scores(spark, folder, language_model.Settings())
+
+
+def op6_backoff_scores_trigrams(spark: SparkSession, folder: str) -> DataFrame:
+    return _mean_scores(spark, folder, language_model.Settings(order=3))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     coded = bpe.with_ids(docs, RANKS, PATTERN).drop("text")
@@ -118,6 +126,7 @@ QUERIES: dict[str, Run] = {
     "op4_private_data": op4_private_data,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_backoff_scores": op6_backoff_scores,
+    "op6_backoff_scores_trigrams": op6_backoff_scores_trigrams,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_quality": op9_quality,
@@ -172,4 +181,43 @@ SELECT w.doc_id, len(w.words)::BIGINT AS n_words, round(coalesce(x.total, 0) / g
 FROM w LEFT JOIN (SELECT doc_id, sum(ln(value)) AS total FROM v GROUP BY doc_id) x USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_topk_search": OP3_SQL, "op6_backoff_scores": OP6_SQL}
+OP6_TRIGRAMS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), t AS (
+  SELECT doc_id, i, words[i] AS c, CASE WHEN i > 1 THEN words[i - 1] END AS b, CASE WHEN i > 2 THEN words[i - 2] END AS a
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w)
+), own_one AS (SELECT doc_id, c, count(*) AS n FROM t GROUP BY ALL),
+own_two AS (SELECT doc_id, b, c, count(*) AS n FROM t WHERE b IS NOT NULL GROUP BY ALL),
+own_three AS (SELECT doc_id, a, b, c, count(*) AS n FROM t WHERE a IS NOT NULL GROUP BY ALL),
+one AS (SELECT doc_id, c, sum(n) OVER (PARTITION BY c) - n AS n FROM own_one),
+two AS (SELECT doc_id, b, c, sum(n) OVER (PARTITION BY b, c) - n AS n FROM own_two),
+three AS (SELECT doc_id, a, b, c, sum(n) OVER (PARTITION BY a, b, c) - n AS n FROM own_three),
+all_words AS (SELECT count(*) AS n FROM t), own_words AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+v AS (
+  SELECT t.doc_id, CASE
+    WHEN three.n > 0 THEN three.n::DOUBLE / two_before.n
+    ELSE (CASE WHEN t.a IS NULL THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END) * (CASE
+      WHEN two.n > 0 THEN two.n::DOUBLE / one_before.n
+      ELSE (CASE WHEN t.b IS NULL THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END)
+         * (CASE WHEN one.n > 0 THEN one.n::DOUBLE / (all_words.n - own_words.n)
+            ELSE 1.0::DOUBLE / (all_words.n - own_words.n + 1) END) END) END AS value
+  FROM t JOIN own_words USING (doc_id) CROSS JOIN all_words
+  JOIN one ON one.doc_id = t.doc_id AND one.c = t.c
+  LEFT JOIN one one_before ON one_before.doc_id = t.doc_id AND one_before.c = t.b
+  LEFT JOIN two ON two.doc_id = t.doc_id AND two.b = t.b AND two.c = t.c
+  LEFT JOIN two two_before ON two_before.doc_id = t.doc_id AND two_before.b = t.a AND two_before.c = t.b
+  LEFT JOIN three ON three.doc_id = t.doc_id AND three.a = t.a AND three.b = t.b AND three.c = t.c
+)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, round(coalesce(x.total, 0) / greatest(len(w.words), 1), 6) AS mean_log_score
+FROM w LEFT JOIN (SELECT doc_id, sum(ln(value)) AS total FROM v GROUP BY doc_id) x USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_topk_search": OP3_SQL,
+    "op6_backoff_scores": OP6_SQL,
+    "op6_backoff_scores_trigrams": OP6_TRIGRAMS_SQL,
+}
