@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -92,18 +93,32 @@ class PassageIndex:
         return met
 
 
-def find_licenses(
+class Hit(NamedTuple):
+    """A phrase, or with its number a passage: first word of the text, whether it is a phrase, share of its words."""
+
+    label: str
+    word: int
+    base: bool
+    containment: float
+    passage: int | None = None
+
+
+def license_hits(
     text: str, index: PassageIndex, phrases: Mapping[str, str] = PHRASES, half: int = PASSAGE_WORDS
-) -> tuple[int, list[tuple[str, int, bool, float]]]:
-    """The number of words, and (label, first word, base, containment) of each phrase and passage met."""
+) -> tuple[int, list[Hit]]:
+    """The number of words, and each phrase and passage met.
+
+    A passage has one hit for each run of adjacent blocks that meet it: the first of those with the
+    highest containment.
+    """
     words = words_of(text)
-    hits: list[tuple[str, int, bool, float]] = []
+    hits: list[Hit] = []
     line = b" " + b" ".join(words) + b" "
     for phrase, label in phrases.items():
         wanted = b" " + phrase.encode() + b" "
         at = line.find(wanted)
         while at >= 0:
-            hits.append((label, line.count(b" ", 0, at), True, 1.0))
+            hits.append(Hit(label, line.count(b" ", 0, at), True, 1.0))
             at = line.find(wanted, at + 1)
     if not index.first_words.isdisjoint(words):
         # Blocks are windows of two halves; a passage of up to one half is whole in one of them.
@@ -111,17 +126,31 @@ def find_licenses(
         by_half: dict[int, set[int]] = {}
         for n in places:
             by_half.setdefault(n // half, set()).add(index.rank[words[n]])
-        best: dict[str, tuple[float, int]] = {}
+        runs: dict[int, list[list]] = {}  # by passage: last block, highest containment, its first block
         for h in sorted(by_half.keys() | {h - 1 for h in by_half}):
             block = sorted(by_half.get(h, set()) | by_half.get(h + 1, set()))
             for k, share in index.match(block).items():
-                label = index.labels[k]
-                best[label] = max(best.get(label, (0.0, 0)), (share, -max(0, h) * half))
-        hits += [(label, -start, False, share) for label, (share, start) in best.items()]
+                of = runs.setdefault(k, [])
+                if not of or of[-1][0] < h - 1:
+                    of.append([h, share, h])
+                else:
+                    of[-1][0] = h
+                    if share > of[-1][1]:
+                        of[-1][1:] = share, h
+        met = [Hit(index.labels[k], max(0, h) * half, False, share, k) for k, of in runs.items() for _, share, h in of]
+        hits += sorted(met, key=lambda hit: (hit.word, hit.passage))
     return len(words), hits
 
 
-FOUND = "struct<n_words:long,hits:array<struct<label:string,word:long,base:boolean,containment:double>>>"
+def find_licenses(
+    text: str, index: PassageIndex, phrases: Mapping[str, str] = PHRASES, half: int = PASSAGE_WORDS
+) -> tuple[int, list[tuple[str, int, bool, float]]]:
+    """:func:`license_hits` without the numbers of passages."""
+    n_words, hits = license_hits(text, index, phrases, half)
+    return n_words, [hit[:4] for hit in hits]
+
+
+FOUND = "struct<n_words:long,hits:array<struct<label:string,word:long,base:boolean,containment:double,passage:int>>>"
 FOUND_ARROW = pa.struct(
     [
         ("n_words", pa.int64()),
@@ -129,7 +158,13 @@ FOUND_ARROW = pa.struct(
             "hits",
             pa.list_(
                 pa.struct(
-                    [("label", pa.string()), ("word", pa.int64()), ("base", pa.bool_()), ("containment", pa.float64())]
+                    [
+                        ("label", pa.string()),
+                        ("word", pa.int64()),
+                        ("base", pa.bool_()),
+                        ("containment", pa.float64()),
+                        ("passage", pa.int32()),
+                    ]
                 )
             ),
         ),
@@ -159,6 +194,9 @@ def with_licenses(
 ) -> DataFrame:
     """``docs`` with a struct ``into``: the number of words, and the phrases and passages met.
 
+    Every place of a phrase is a hit, and so is every run of adjacent blocks that meet a passage;
+    ``passage`` is its number among :func:`passages`, NULL for phrases.
+
     Reads the documents twice: once for the frequencies of the passages' words, which set the
     global order, and once to match. The passages come from the caller's memory, and so does
     their index; it does not grow with the documents. Nothing but those counts is shuffled.
@@ -171,8 +209,7 @@ def with_licenses(
     index = PassageIndex(found, word_frequencies(docs, vocabulary, text=text), containment)
 
     def scan(value: str) -> dict:
-        n_words, hits = find_licenses(value, index, phrases)
-        names = ("label", "word", "base", "containment")
-        return {"n_words": n_words, "hits": [dict(zip(names, hit, strict=True)) for hit in hits]}
+        n_words, hits = license_hits(value, index, phrases)
+        return {"n_words": n_words, "hits": [hit._asdict() for hit in hits]}
 
     return docs.withColumn(into, per_text(scan, FOUND, FOUND_ARROW)(docs[text]))

@@ -171,3 +171,13 @@ def test_blocks_against_trying_every_passage(text, passage):
             if p.words and len(p.words & block) >= math.ceil(0.8 * len(p.words) - 1e-9):
                 want.add(p.label)
     assert {label for label, *_ in hits} == want
+
+
+def test_every_place_of_a_passage_is_a_hit():
+    one, two = " ".join(f"p{k}" for k in range(20)), " ".join(f"q{k}" for k in range(20))
+    found = licenses.passages({"one": [one, two]})
+    filler = " ".join(f"x{k}" for k in range(108))
+    _, hits = licenses.license_hits(f"{one} {filler} {one} {filler} {two}", licenses.PassageIndex(found, {}, 0.8), {})
+    assert [(h.label, h.passage, h.word, h.base, h.containment) for h in hits] == [
+        ("one", 0, 0, False, 1.0), ("one", 0, 96, False, 1.0), ("one", 1, 224, False, 1.0)
+    ]
