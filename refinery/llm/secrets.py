@@ -86,13 +86,27 @@ def hot_windows(candidate: str, window: int, bits: float) -> list[tuple[int, int
     return spans
 
 
+def _mixed(run: str) -> bool:
+    return any(map(str.isdigit, run)) and any(map(str.isalpha, run))
+
+
+def _left(start: int, end: int, cut: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans of ``cut`` leave of a span."""
+    out = []
+    for a, b in sorted(span for span in cut if span[0] < end and start < span[1]):
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    return [*out, (start, end)] if start < end else out
+
+
 def find_secrets(
     text: str, classes: Iterable[CharacterClass] = CLASSES, allowed: Iterable[str] = ALLOWED
 ) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) of each secret, by start and then by kind; code points, end exclusive.
 
-    The rules' spans always stand. Entropy spans are added where they touch none of them, no
-    span of an earlier class and no allowed string.
+    The rules' spans always stand. They, spans of an earlier class and allowed strings are cut out of
+    the runs; what is left on either side is scored by itself, if it is as long as a window.
     """
     base = base_secrets(text)
     spans = [(kind, start, end, True) for kind, start, end in base]
@@ -100,16 +114,16 @@ def find_secrets(
     quiet: list[tuple[int, int]] | None = None
     for c in classes:
         for m in _runs(c.characters, c.window).finditer(text):
-            run = m[0]
-            if not (any(map(str.isdigit, run)) and any(map(str.isalpha, run))):
+            if not _mixed(m[0]):
                 continue
             if quiet is None:
                 quiet = [m.span() for m in _any_of(tuple(allowed)).finditer(text)]
-            for start, end in hot_windows(run, c.window, c.bits):
-                start, end = start + m.start(), end + m.start()
-                if not any(a < end and start < b for a, b in (*taken, *quiet)):
-                    spans.append((c.kind, start, end, False))
-                    taken.append((start, end))
+            for first, last in _left(*m.span(), [*taken, *quiet]):
+                if last - first < c.window or not _mixed(text[first:last]):
+                    continue
+                for start, end in hot_windows(text[first:last], c.window, c.bits):
+                    spans.append((c.kind, first + start, first + end, False))
+                    taken.append((first + start, first + end))
     return sorted(spans, key=lambda s: (s[1], ORDER.get(s[0], len(ORDER)), s[0], s[2]))
 
 

@@ -63,6 +63,14 @@ def test_entropy_finds_what_no_rule_names_and_leaves_words_and_allowed_strings()
         assert not [s for s in secrets.find_secrets(quiet) if not s[3]], quiet
 
 
+def test_a_key_beside_a_hash_or_an_allowed_string_in_one_run():
+    key = "Zk3vQ9xTm2LrB8nWc5YhJ7pD4sGfA1eK6uH0wXqR"
+    for other in ("0123456789abcdef0123456789abcdef", "123e4567-e89b-12d3-a456-426614174000"):
+        for text in (f"{other}/{key}", f"{key}/{other}"):
+            spans = [(a, b) for _, a, b, base in secrets.find_secrets(text) if not base]
+            assert [text[a:b].strip("/") for a, b in spans] == [key]
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):
