@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, decontaminate, jaccard, language_model, licenses, private, quality, repeats, secrets, topk
+from refinery.llm import (
+    bpe,
+    decontaminate,
+    divergence,
+    jaccard,
+    language_model,
+    licenses,
+    private,
+    quality,
+    repeats,
+    secrets,
+    topk,
+)
 from refinery.llm.common import base_spans, count_kind, join_spans
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +131,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
@@ -131,6 +147,7 @@ QUERIES: dict[str, Run] = {
     "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 # The scores are whole numbers far below 2^53, so the double sums are exact.
@@ -216,8 +233,49 @@ SELECT w.doc_id, len(w.words)::BIGINT AS n_words, round(coalesce(x.total, 0) / g
 FROM w LEFT JOIN (SELECT doc_id, sum(ln(value)) AS total FROM v GROUP BY doc_id) x USING (doc_id)
 """
 
+# p and q stay below 2^31 and their sums below 2^63; only counts times 10^9 need more than 64 bits.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), t AS (SELECT doc, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+g AS (
+  SELECT groups.lang, groups.source, coalesce(v, 0) AS v, coalesce(total, 0) AS total FROM groups LEFT JOIN size USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) USING (lang, source)
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * g.v))::BIGINT AS p
+  FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), q AS (
+  SELECT lang, term, (1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v))::BIGINT AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) JOIN size USING (lang)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms
+)
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM ranked
+) WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op3_topk_search": OP3_SQL,
     "op6_backoff_scores": OP6_SQL,
     "op6_backoff_scores_trigrams": OP6_TRIGRAMS_SQL,
+    "op12_source_divergence": OP12_SQL,
 }
