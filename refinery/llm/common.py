@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,17 @@ def per_text(function: Callable[[str], object], ddl: str, arrow: pa.DataType) ->
     return F.arrow_udf(batch, ddl)
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of text, one row at least."""
+    ends = np.cumsum(np.asarray(pc.binary_length(batch[column]).fill_null(0)), dtype=np.int64)
+    at = 0
+    while at < len(batch):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 _cached: list = [None, None]
 
 

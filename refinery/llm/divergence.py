@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.common import keep_on_disk
+from refinery.llm.common import keep_on_disk, slices
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -103,17 +103,6 @@ def count_chunks(batch: pa.RecordBatch, least_docs: int) -> pa.RecordBatch:
     )
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``most`` bytes of text, one row at least."""
-    ends = np.cumsum(np.asarray(pc.binary_length(batch[column]).fill_null(0)), dtype=np.int64)
-    at = 0
-    while at < len(batch):
-        before = int(ends[at - 1]) if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def chunk_counts(docs: DataFrame, settings: Settings) -> DataFrame:
     """COUNTS of all documents, a row per slice of them, language and chunk. On shared disk."""
 

@@ -12,6 +12,7 @@ from refinery.llm import (
     bpe,
     decontaminate,
     divergence,
+    fill_middle,
     jaccard,
     language_model,
     licenses,
@@ -131,6 +132,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents"))
 
@@ -147,6 +152,7 @@ QUERIES: dict[str, Run] = {
     "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
+    "op11_fill_middle": op11_fill_middle,
     "op12_source_divergence": op12_source_divergence,
 }
 
