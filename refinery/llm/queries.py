@@ -21,6 +21,7 @@ from refinery.llm import (
     repeats,
     secrets,
     topk,
+    toxicity,
 )
 from refinery.llm.common import base_spans, count_kind, join_spans
 
@@ -140,6 +141,17 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.with_toxicity(docs, model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Run] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
@@ -154,6 +166,7 @@ QUERIES: dict[str, Run] = {
     "op10_decontamination": op10_decontamination,
     "op11_fill_middle": op11_fill_middle,
     "op12_source_divergence": op12_source_divergence,
+    "op13_toxicity": op13_toxicity,
 }
 
 # The scores are whole numbers far below 2^53, so the double sums are exact.
