@@ -35,7 +35,7 @@ class Settings:
 
     least_docs: int = 10
     top: int = 10
-    slice_bytes: int = 24 << 20
+    slice_bytes: int = 32 << 20
     sources: int = 64
     terms: int = 2048
 
@@ -128,9 +128,9 @@ def terms_of(chunk: Column) -> Column:
 
 def kept_chunks(counts: DataFrame, settings: Settings) -> DataFrame:
     """(lang, chunk, term, times) for the terms of each language that are in enough of its documents. On shared disk."""
-    per_chunk = counts.groupBy("lang", "chunk").agg(F.sum("df").alias("df"))
+    per_chunk = keep_on_disk(counts.groupBy("lang", "chunk").agg(F.sum("df").alias("df")), "chunks")
     # Equal chunks of several languages share one row, so that each is taken apart once.
-    distinct = counts.select("chunk").distinct().select("chunk", F.inline(terms_of(F.col("chunk"))))
+    distinct = per_chunk.select("chunk").distinct().select("chunk", F.inline(terms_of(F.col("chunk"))))
     parts = keep_on_disk(per_chunk.join(distinct, "chunk"), "chunk-terms")
     bounds = parts.groupBy("lang", "term").agg(F.max("df").alias("least"), F.sum("df").alias("most"))
     alive = keep_on_disk(bounds.where(F.col("most") >= settings.least_docs), "terms")
@@ -139,7 +139,9 @@ def kept_chunks(counts: DataFrame, settings: Settings) -> DataFrame:
     # Terms of several rare chunks, which may share documents: fewer than ``least_docs`` for each chunk.
     open_terms = alive.where(F.col("least") < settings.least_docs).select("lang", "term")
     rare = parts.join(open_terms, ["lang", "term"]).select("lang", "chunk", "term")
-    places = counts.where(F.col("docs").isNotNull()).select("lang", "chunk", "docs").join(rare, ["lang", "chunk"])
+    # Hints: the counts are many times the chunks they meet, and sorting them is most of the work.
+    listed = counts.where(F.col("docs").isNotNull()).select("lang", "chunk", "docs")
+    places = listed.join(rare.hint("shuffle_hash"), ["lang", "chunk"])
     found = places.select("lang", "term", F.explode("docs").alias("doc")).groupBy("lang", "term")
     counted = found.agg(F.count_distinct("doc").alias("df")).where(F.col("df") >= settings.least_docs)
     kept = sure.unionByName(counted.select("lang", "term"))
@@ -148,7 +150,7 @@ def kept_chunks(counts: DataFrame, settings: Settings) -> DataFrame:
 
 def term_counts(counts: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, term, n): how often kept terms occur in each group, where they do. On shared disk."""
-    uses = counts.select("lang", "chunk", "uses").join(kept, ["lang", "chunk"])
+    uses = counts.select("lang", "chunk", "uses").join(kept.hint("shuffle_hash"), ["lang", "chunk"])
     each = uses.select("lang", "term", "times", F.inline("uses"))
     return keep_on_disk(each.groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n")), "term-counts")
 

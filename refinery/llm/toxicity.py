@@ -75,8 +75,8 @@ class Folded:
 
     def char(self, at: int) -> int:
         """The source character that the byte ``at`` of a reading belongs to."""
-        data = np.frombuffer(self.readings[0][:at], np.uint8)
-        position = int(np.count_nonzero((data & 0xC0) != 0x80))
+        data = np.frombuffer(self.readings[0][: at + 1], np.uint8)
+        position = int(np.count_nonzero((data & 0xC0) != 0x80)) - 1
         return position if self.kept is None else int(self.kept[min(position, len(self.kept) - 1)])
 
 
