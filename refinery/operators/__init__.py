@@ -1,7 +1,10 @@
 """Operators: frames in, frames out."""
 
 from refinery.operators.aggregate import bucket_columns, bucket_pivot, count_children, line_sum, rollup_lines
+from refinery.operators.ancestry import ancestry
+from refinery.operators.differences import apply_difference, snapshot_difference
 from refinery.operators.hierarchy import flatten_tree
+from refinery.operators.history import merge_history, rewritten_history
 from refinery.operators.incremental import incremental, next_watermark, scd2, upsert
 from refinery.operators.latest import latest_per_key
 from refinery.operators.nested import explode_children
@@ -11,6 +14,8 @@ from refinery.operators.setops import align, distinct_rows, union_all, union_dis
 
 __all__ = [
     "align",
+    "ancestry",
+    "apply_difference",
     "bucket_columns",
     "bucket_pivot",
     "count_children",
@@ -22,13 +27,16 @@ __all__ = [
     "latest_per_key",
     "line_sum",
     "lookup_join",
+    "merge_history",
     "next_watermark",
     "project",
     "recent",
     "rekey",
     "require",
+    "rewritten_history",
     "rollup_lines",
     "scd2",
+    "snapshot_difference",
     "stamp",
     "union_all",
     "union_distinct",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.functions._columns import ColumnLike, as_column
+from refinery.operators.names import free_prefix
 from refinery.operators.nested import explode_children
 from refinery.operators.project import project
 
@@ -34,45 +35,62 @@ def count_children(
     Array sizes are added up, so nothing is exploded and one number per row is shuffled at
     most; parents that share a key are counted together.
     """
-    sizes = df.select(
-        as_column(key).alias(key_name), F.size(F.coalesce(as_column(array), F.array())).alias("_size")
-    )
+    size = free_prefix([key_name, count_name]) + "size"
+    sizes = df.select(as_column(key).alias(key_name), F.size(F.coalesce(as_column(array), F.array())).alias(size))
     return (
-        sizes.filter(F.col("_size") > 0)
+        sizes.filter(F.col(size) > 0)
         .groupBy(key_name)
-        .agg(F.sum(F.col("_size").cast("bigint")).alias(count_name))
+        .agg(F.sum(F.col(size).cast("bigint")).alias(count_name))
     )
 
 
+# Numbers below 10^9 with up to six decimals have at most fifteen digits, which a double holds exactly.
+_MILLION, _FIFTEEN_DIGITS = 1e6, 1e15
+
+
 def line_sum(value: ColumnLike, type_: T.DataType) -> Column:
     """A sum that does not depend on the order of the rows, and rounds nothing before adding.
 
-    Floating-point lines are added in decimals: the value to six digits, and what that leaves of
-    it to thirty, each exactly; the total is given back as double. Values that no such decimal
-    can hold (NaN, infinity, 1e22 and up) are added as they are, and so are all if the decimals
-    run over. Other types use Spark's own sum.
+    Floating-point lines are added in their decimal digits; the total is given back as double. A value with up to
+    six decimals, below 10^9, is added as two whole numbers, millionths and the rest, which costs little more than
+    a plain sum. Others are added as decimals: the value to six digits, and what that leaves of it to thirty,
+    each exactly. Values that no such decimal can hold (NaN, infinity, 1e22 and up) are added as they are, and so are
+    all of these if the decimals run over. Other types use Spark's own sum.
     """
     column = as_column(value)
     if not isinstance(type_, (T.DoubleType, T.FloatType)):
         return F.sum(column)
     column = column.cast("double")
-    near = column.try_cast("decimal(28,6)")
+    millionths = F.rint(column * _MILLION)
+    short = (F.abs(millionths) < _FIFTEEN_DIGITS) & (millionths / _MILLION == column)
+    number = F.when(short, millionths.try_cast("bigint"))
+    # Both stay below 10^9 a row, so that no group in reach runs over.
+    whole = F.sum(F.call_function("div", number, F.lit(1_000_000).cast("bigint")))
+    parts = F.sum(number % F.lit(1_000_000).cast("bigint"))
+    digits = whole.try_cast("decimal(28,6)") + (parts.cast("decimal(20,0)") * F.lit(1e-6).cast("decimal(6,6)"))
+
+    long = F.when(~short, column)
+    near = long.try_cast("decimal(28,6)")
 
     def beyond_six_digits(scale: int) -> Column:
-        digits = f"decimal(38,{scale})"
-        return (column.try_cast(digits) - near.try_cast(digits)).try_cast("decimal(38,30)")
+        cut = f"decimal(38,{scale})"
+        return (long.try_cast(cut) - near.try_cast(cut)).try_cast("decimal(38,30)")
 
     # Numbers from 1e8 on have no digits beyond the fifteenth.
     rest = F.coalesce(beyond_six_digits(30), beyond_six_digits(15))
-    high, low = F.try_sum(near), F.try_sum(rest)
+    long_high, low = F.try_sum(near), F.try_sum(rest)
+    high = F.coalesce(F.try_add(long_high, digits), long_high, digits)
     # Added as decimals where both fit, so that the total is rounded once.
     joined = (high.try_cast("decimal(38,18)") + low.try_cast("decimal(38,18)")).cast("double")
-    total = F.when(high == 0, low.cast("double")).otherwise(
-        F.coalesce(joined, high.cast("double") + low.cast("double"))
+    total = (
+        F.when(low.isNull(), high.cast("double"))
+        .when(high == 0, low.cast("double"))
+        .otherwise(F.coalesce(joined, high.cast("double") + low.cast("double")))
     )
-    whole = F.when((F.count(near) > 0) & (high.isNull() | low.isNull()), F.sum(F.when(near.isNotNull(), column)))
-    beyond = F.sum(F.when(near.isNull(), column))
-    exact = F.coalesce(whole, total)
+    ran_over = (F.count(near) > 0) & (long_high.isNull() | low.isNull())
+    as_they_are = F.sum(F.when(near.isNotNull(), long))
+    exact = F.when(ran_over, F.coalesce(as_they_are + digits.cast("double"), as_they_are)).otherwise(total)
+    beyond = F.sum(F.when(near.isNull(), long))
     return F.coalesce(exact + beyond, exact, beyond)
 
 

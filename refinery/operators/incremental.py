@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from refinery.functions._columns import ColumnLike
 from refinery.operators.latest import latest_per_key
+from refinery.operators.names import free_prefix
 from refinery.operators.relate import distinct_keys
 
+# What a history adds to the keys and tracked columns.
+HISTORY = ("valid_from", "valid_to", "is_current")
+
 
 def incremental(df: DataFrame, column: str, low: Any, lookback: Any = None) -> DataFrame:
     """Rows above the watermark ``low``, moved back by ``lookback`` to catch late arrivals.
@@ -53,13 +57,13 @@ def upsert(
 
     A key with a NULL in it matches nothing, so rows of the target without key stay. Those of the
     updates are appended, and again on every repeated run; ``null_keys="drop"`` leaves them out,
-    which makes a run repeatable. The updates are cut to the newest of each key once; the keys
-    that take part in the join are those of the outcome (see ``distinct_keys`` for hot ones).
+    which makes a run repeatable. The updates are cut to the newest of each key once; what the target
+    is joined with are their distinct keys, for which only key columns are read (see ``distinct_keys`` for hot ones).
     """
     if null_keys not in ("keep", "drop"):
         raise ValueError(f"null_keys must be 'keep' or 'drop', not {null_keys!r}")
     newest = latest_per_key(updates, keys, order_by, tie_break=tie_break, null_keys=null_keys)
-    changed = distinct_keys(newest, {key: key for key in keys})
+    changed = distinct_keys(updates, {key: key for key in keys})
     return target.join(changed, list(keys), "left_anti").select(*target.columns).unionByName(newest)
 
 
@@ -85,42 +89,49 @@ def scd2(
     slice then meet those of the key's other slices.
     """
     order = [ts, *tie_break]
-    at = F.struct(*order)
+    columns = list(dict.fromkeys([*keys, *tracked, *order]))
+    if clash := {name.lower() for name in [*keys, *tracked]} & set(HISTORY):
+        raise ValueError(f"{sorted(clash)} are what a history adds; rename them")
+    mark = free_prefix(columns)
+    slice_, same, first, next_, edge, group, carried, change, later, at = (
+        f"{mark}{name}" for name in "slice same first next edge group carried change later at".split()
+    )
 
     def unchanged(window: WindowSpec) -> Column:
         """Is there a row before, with the same values?"""
-        same = [F.col(column).eqNullSafe(F.lag(column).over(window)) for column in tracked]
-        return reduce(and_, same, F.lag(F.lit(True)).over(window).isNotNull())
+        values = [F.col(column).eqNullSafe(F.lag(column).over(window)) for column in tracked]
+        return reduce(and_, values, F.lag(F.lit(True)).over(window).isNotNull())
 
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    rows = changes.select(*dict.fromkeys([*keys, *tracked, *order]))
-    in_order = rows.repartitionByRange(*([slices] if slices else []), *keys, *order)
+    in_slice = Window.partitionBy(*keys, slice_).orderBy(*order)
+    in_order = changes.select(*columns).repartitionByRange(*([slices] if slices else []), *keys, *order)
+    # Only the moment is needed of the next start, but starts of one moment have to stay apart.
     starts = (
-        in_order.withColumn("_slice", F.spark_partition_id())
-        .withColumn("_unchanged", unchanged(in_slice))
-        .filter(~F.col("_unchanged"))
-        .withColumns({"_first": F.row_number().over(in_slice) == 1, "_next": F.lead(at).over(in_slice)})
+        in_order.withColumn(slice_, F.spark_partition_id())
+        .withColumn(same, unchanged(in_slice))
+        .filter(~F.col(same))
+        .withColumn(at, F.struct(*[F.col(column).alias(f"o{n}") for n, column in enumerate(order)]))
+        .withColumns({first: F.row_number().over(in_slice) == 1, next_: F.lead(at).over(in_slice)})
     )
 
     # A slice's first start is none if the slice before ended in the same state, and the next
     # change may lie some slices on. The starts in between stay in groups of their own slice.
-    edge = F.col("_first") | F.col("_next").isNull()
-    grouped = starts.withColumns({"_edge": edge, "_group": F.when(~edge, F.col("_slice"))})
-    across = Window.partitionBy(*keys, "_edge", "_group").orderBy(*order)
-    backwards = Window.partitionBy(*keys, "_edge", "_group").orderBy(*[F.col(column).desc() for column in order])
-    change = F.when(F.col("_first"), F.when(F.col("_carried"), F.col("_next")).otherwise(at))
-    later = F.last("_change", ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, -1))
-    end = F.coalesce("_next", "_later")
+    on_edge = F.col(first) | F.col(next_).isNull()
+    grouped = starts.withColumns({edge: on_edge, group: F.when(~on_edge, F.col(slice_))})
+    across = Window.partitionBy(*keys, edge, group).orderBy(*order)
+    backwards = Window.partitionBy(*keys, edge, group).orderBy(*[F.col(column).desc() for column in order])
+    begins = F.when(F.col(first), F.when(F.col(carried), F.col(next_)).otherwise(F.col(at)))
+    following = F.last(change, ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, -1))
+    end = F.coalesce(next_, later)
     return (
-        grouped.withColumn("_carried", F.col("_first") & unchanged(across))
-        .withColumn("_change", change)
-        .withColumn("_later", later)
-        .filter(~F.col("_carried"))
+        grouped.withColumn(carried, F.col(first) & unchanged(across))
+        .withColumn(change, begins)
+        .withColumn(later, following)
+        .filter(~F.col(carried))
         .select(
             *keys,
             *tracked,
-            F.col(ts).alias("valid_from"),
-            end.getField(ts).alias("valid_to"),
-            end.isNull().alias("is_current"),
+            F.col(ts).alias(HISTORY[0]),
+            end.getField("o0").alias(HISTORY[1]),
+            end.isNull().alias(HISTORY[2]),
         )
     )

@@ -14,11 +14,12 @@ from refinery.functions._columns import ColumnLike, as_column
 from refinery.operators.names import free_name
 
 
-def _orderable(type_: T.DataType) -> bool:
+def orderable(type_: T.DataType) -> bool:
+    """Whether Spark can sort values of this type."""
     if isinstance(type_, T.ArrayType):
-        return _orderable(type_.elementType)
+        return orderable(type_.elementType)
     if isinstance(type_, T.StructType):
-        return all(_orderable(field.dataType) for field in type_.fields)
+        return all(orderable(field.dataType) for field in type_.fields)
     return not isinstance(type_, (T.MapType, T.VariantType))
 
 
@@ -45,7 +46,7 @@ def latest_per_key(
         raise ValueError(f"null_keys must be 'collapse', 'keep' or 'drop', not {null_keys!r}")
     key_columns = [as_column(key) for key in keys]
     if tie_break is None:
-        ties: list[Column] = [F.col(f"`{field.name}`") for field in df.schema if _orderable(field.dataType)]
+        ties: list[Column] = [F.col(f"`{field.name}`") for field in df.schema if orderable(field.dataType)]
     else:
         ties = [as_column(column) for column in tie_break]
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from refinery.operators import union_all
 from refinery.plans import registry
 from refinery.plans.entities.dip import RANK_FIELDS
 from refinery.plans.queries.payloads import (
@@ -531,14 +532,11 @@ BOOKINGS = flat(
               || cast(o_orderkey as string)""",
     plates="o_orderkey % 5",
 )
+PLATES = """case plates when 0 then array('NL-1', 'BE-2') when 1 then array(cast(null as string))
+                       when 2 then cast(array() as array<string>) end as license_plates"""
 add(
     "tomm.booking",
-    wrapped(
-        BOOKINGS,
-        "*",
-        """case plates when 0 then array('NL-1', 'BE-2') when 1 then array(cast(null as string))
-                       when 2 then cast(array() as array<string>) end as license_plates""",
-    ),
+    wrapped(BOOKINGS, "*", PLATES),
     BOOKINGS.oracle("""
        , plated AS (SELECT DISTINCT id AS plated_id FROM payload WHERE plates < 2)
        SELECT id AS Id, number AS Boekingnummer,
@@ -673,26 +671,51 @@ ITEM_ORACLE = f"""
 add("tomm.item_rule", from_table("orders", BOOKING_KEYS, f"{ITEMS.array()} as item_rules"), ITEM_ORACLE)
 
 
+# Of each table, what tells its rows apart: its own id, a text and a number.
+TOMM = {
+    "booking": ("Id", "Id", "Status", "Totalekosten"),
+    "person": ("FK_Boeking_Id", "Id", "Achternaam", None),
+    "guest": ("FK_Boeking_Id", "Id", "Geslacht", None),
+    "booking_rule": ("FK_Boeking_Id", "Id", "Accommodatie", "Verblijfkosten"),
+    "item_rule": ("FK_Boeking_Id", "Id", "Artikelnaam", "BedragInclBtw"),
+}
+
+
 @CATALOG.add(
     "refine_all_landed",
-    f"""SELECT 'guest' AS entity, FK_Boeking_Id AS booking, Id AS id
-        FROM ({CATALOG.queries["tomm_guest"].oracle})
-        UNION ALL SELECT 'item_rule', FK_Boeking_Id, Id FROM ({ITEM_ORACLE})""",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS entity, {booking} AS booking, {own} AS id, {label} AS label, CAST({amount or 'NULL'} AS DOUBLE) AS amount
+            FROM ({CATALOG.queries[f"tomm_{name}"].oracle})"""
+        for name, (booking, own, label, amount) in TOMM.items()
+    ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """One payload, fitted to its schema and landed once, refined into several tables."""
-    payload = table(spark, folder, "orders").selectExpr(
-        BOOKING_KEYS, f"{GUESTS.array()} as guests", f"{ITEMS.array()} as item_rules"
+    """One payload, fitted to its schema and landed once, refined into all of its five tables."""
+    own = {f"o_{field}": value for field, value in PERSONS.fields.items()}
+    person = ", ".join(f"`o_{field}` as {field}" for field in simple_fields(PERSON_DDL))
+    payload = (
+        table(spark, folder, "orders")
+        .selectExpr(
+            *[f"{value} as {name}" for name, value in BOOKINGS.fields.items()],
+            *[f"{value} as {name}" for name, value in own.items()],
+            f"{GUESTS.array()} as guests",
+            f"{RULES.array(AGES)} as booking_rules",
+            f"{ITEMS.array()} as item_rules",
+        )
+        .selectExpr(
+            "*", PLATES, f"case when cast(o_person_id as int) % 10 > 0 then struct(o_person_id as id, {person}) end as person"
+        )
+        .drop(*own)
     )
     landing = work_folder(spark, "bookings")
-    refined = registry.refine_all(payload, ["tomm.guest", "tomm.item_rule"], landing=landing)
+    refined = registry.refine_all(payload, [f"tomm.{name}" for name in TOMM], landing=landing)
     rows = [
-        frame.select(
-            F.lit(name.removeprefix("tomm.")).alias("entity"), F.col("FK_Boeking_Id").alias("booking"), F.col("Id").alias("id")
+        refined[f"tomm.{name}"].selectExpr(
+            f"'{name}' as entity", f"{booking} as booking", f"{key} as id", f"{label} as label", f"cast({amount or 'null'} as double) as amount"
         )
-        for name, frame in refined.items()
+        for name, (booking, key, label, amount) in TOMM.items()
     ]
-    return rows[0].unionByName(rows[1])
+    return union_all(*rows)
 
 
 # --- from text records ----------------------------------------------------------------------

@@ -920,3 +920,177 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     sources.write_snapshot(suppliers, path, "1998-06-02")
     sources.write_snapshot(suppliers.withColumn("s_acctbal", F.col("s_acctbal") + 1), path, "1998-06-02")
     return spark.read.parquet(path)
+
+
+# --- late changes, differences, deep trees, quarantine ---------------------------------------
+
+# Errors come late, when the history of the other events is already there.
+LATE = "event_type = 'error'"
+
+
+@query("history_late_changes", CATALOG.queries["scd2_history"].oracle)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored history and late events give the history of all events; of the log only touched keys are read again."""
+    events = table(spark, folder, "events")
+    log, late = events.filter(f"not ({LATE})"), events.filter(LATE)
+    history = sources.land(op.scd2(log, ["user_id"], ["event_type"], "ts", tie_break=["event_id"]))
+    return op.merge_history(history, late, ["user_id"], ["event_type"], "ts", tie_break=["event_id"], log=log)
+
+
+@query(
+    "history_split_runs",
+    f"""WITH kept AS (
+         SELECT * FROM (
+           SELECT user_id, event_type, ts, event_id, row_number() OVER w AS rn, lag(event_type) OVER w AS before
+           FROM events WHERE NOT ({LATE}) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+         WHERE rn = 1 OR event_type IS DISTINCT FROM before),
+       changes AS (
+         SELECT user_id, event_type, ts, 0 AS late, NULL::BIGINT AS event_id FROM kept
+         UNION ALL SELECT user_id, event_type, ts, 1, event_id FROM events WHERE {LATE} AND value >= 20),
+       ordered AS (
+         SELECT *, lag(event_type) OVER w AS before, row_number() OVER w AS rn
+         FROM changes WINDOW w AS (PARTITION BY user_id ORDER BY ts, late, event_id)),
+       starts AS (SELECT * FROM ordered WHERE rn = 1 OR event_type IS DISTINCT FROM before),
+       runs AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, late, event_id) AS valid_to FROM starts)
+       SELECT user_id, event_type, ts AS valid_from, valid_to, valid_to IS NULL AS is_current FROM runs""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Late events split the runs of a history kept in buckets; buckets without any stay as they are."""
+    events = table(spark, folder, "events")
+    path = work_folder(spark, "history")
+    first = op.scd2(events.filter(f"not ({LATE})"), ["user_id"], ["event_type"], "ts", tie_break=["event_id"])
+    sources.write_keyed(first, path, ["user_id"], buckets=16)
+    late = events.filter(f"{LATE} and value >= 20")
+    sources.merge_history_table(path, late, ["user_id"], ["event_type"], "ts", tie_break=["event_id"], buckets=16)
+    return sources.read_keyed(spark, path)
+
+
+# Who was active in the three days before a moment, and what they did last. Some rows come twice, some have no key.
+_SNAPSHOT = """SELECT CASE WHEN user_id % 10 = 3 THEN NULL ELSE user_id END AS user_id, event_type, value
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn FROM events
+          WHERE ts > TIMESTAMP '{start}' AND ts <= TIMESTAMP '{end}')
+    WHERE rn = 1"""
+SNAPSHOTS = [
+    _SNAPSHOT.format(start=f"2024-01-{day} 00:00:00", end=f"2024-01-{day + 3} 00:00:00") + f" AND value >= {least}"
+    for day, least in ((10, 1), (11, 2))
+]
+
+
+def snapshots(spark: SparkSession, folder: str) -> list[DataFrame]:
+    events = table(spark, folder, "events")
+    return [spark.sql(sql.replace("FROM events", "FROM {events}"), events=events) for sql in SNAPSHOTS]
+
+
+@query(
+    "snapshot_difference",
+    f"""WITH b AS (SELECT user_id, event_type, value, count(*) AS n FROM ({SNAPSHOTS[0]}) GROUP BY ALL),
+       a AS (SELECT user_id, event_type, value, count(*) AS n FROM ({SNAPSHOTS[1]}) GROUP BY ALL),
+       net AS (SELECT user_id, event_type, value, sum(n)::BIGINT AS n FROM (
+                 SELECT * FROM a UNION ALL SELECT user_id, event_type, value, -n FROM b) GROUP BY ALL),
+       d AS (SELECT *, user_id IS NOT NULL AND min(n) OVER (PARTITION BY user_id) < 0 AND max(n) OVER (PARTITION BY user_id) > 0 AS mixed
+             FROM net WHERE n <> 0)
+       SELECT user_id, event_type, value, abs(n) AS copies,
+              CASE WHEN mixed THEN 'update_' || CASE WHEN n < 0 THEN 'before' ELSE 'after' END
+                   WHEN n < 0 THEN 'delete' ELSE 'insert' END AS change
+       FROM d""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return op.snapshot_difference(*snapshots(spark, folder), ["user_id"])
+
+
+@query("apply_difference", SNAPSHOTS[1])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The earlier snapshot and the difference give the later one, deletes and repeated rows included."""
+    before, after = snapshots(spark, folder)
+    return op.apply_difference(before, sources.land(op.snapshot_difference(before, after, ["user_id"])), ["user_id"])
+
+
+# A customer's order hangs below the one before, the lines of an order below the order.
+_CHAIN = """SELECT o_orderkey AS node, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS above
+    FROM orders"""
+
+
+@query(
+    "tree_any_depth",
+    f"""WITH RECURSIVE tree AS (
+         SELECT node, node AS root, 0::BIGINT AS depth, [node] AS path FROM ({_CHAIN}) WHERE above IS NULL
+         UNION ALL
+         SELECT e.node, t.root, t.depth + 1, list_append(t.path, e.node) FROM ({_CHAIN}) e JOIN tree t ON e.above = t.node)
+       SELECT node, root, depth, array_to_string(path, '>') AS path, false AS in_cycle FROM tree""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Chains as long as a customer has orders; the depth is in no schema."""
+    chain = spark.sql(_CHAIN.replace("FROM orders", "FROM {orders}"), orders=table(spark, folder, "orders"))
+    found = op.ancestry(chain, node="node", parent="above")
+    return found.withColumn("path", F.array_join(F.transform("path", lambda n: n.cast("string")), ">"))
+
+
+@query(
+    "roots_over_levels",
+    """WITH RECURSIVE edges AS (
+         SELECT c_custkey AS node, CASE WHEN c_custkey % 50 = 7 THEN c_custkey % 100 + 50 * (c_custkey % 100 // 50 * -2 + 1)
+                                        WHEN c_custkey > 1 THEN c_custkey // 2 END AS above
+         FROM customer),
+       up AS (
+         SELECT node, above, node AS top, 0::BIGINT AS depth, above AS step FROM edges
+         UNION ALL
+         SELECT u.node, u.above, e.node, u.depth + 1, e.above FROM up u JOIN edges e ON u.step = e.node WHERE u.depth < 200),
+       ends AS (SELECT node, top AS root, depth FROM up WHERE step IS NULL OR step NOT IN (SELECT node FROM edges))
+       SELECT edges.node, root, depth, root IS NULL AS in_cycle FROM edges LEFT JOIN ends USING (node)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Roots of a flat table whose rows name their parent, over all levels; some rows hang below a cycle."""
+    above = """case when c_custkey % 50 = 7 then c_custkey % 100 + 50 * (c_custkey % 100 div 50 * -2 + 1)
+                    when c_custkey > 1 then c_custkey div 2 end as above"""
+    groups = table(spark, folder, "customer").selectExpr("c_custkey as node", above)
+    return op.ancestry(groups, node="node", parent="above", path=False)
+
+
+LOADED = {
+    "id": "case when o_orderkey % 11 = 0 then 'no. ' || cast(o_orderkey as string) else cast(o_orderkey as string) end",
+    "amount": "case when o_orderkey % 13 = 0 then 'n/a' else cast(o_orderkey % 700 as string) end",
+    "day": "case when o_orderkey % 17 = 0 then '2024-02-30' when o_orderkey % 3 > 0 then '2024-02-28' end",
+}
+
+
+@query(
+    "quarantine_cells",
+    f"""WITH raw AS (SELECT o_orderkey AS k, {', '.join(f'{sql} AS {name}' for name, sql in LOADED.items())}, o_orderkey % 4 AS n FROM orders),
+       cells AS (
+         SELECT k, 'id' AS path, 'does not fit bigint' AS reason, id AS value FROM raw WHERE try_cast(id AS BIGINT) IS NULL
+         UNION ALL SELECT k, 'amount', 'does not fit int', amount FROM raw WHERE try_cast(amount AS INT) IS NULL
+         UNION ALL SELECT k, 'day', 'does not fit date', day FROM raw WHERE day IS NOT NULL AND try_cast(day AS DATE) IS NULL
+         UNION ALL SELECT k, 'lines[' || CAST(i - 1 AS VARCHAR) || '].nr', 'does not fit int', 'x' FROM raw, unnest([1, 2, 3]) AS t(i)
+                   WHERE i <= n AND k % 19 = i)
+       SELECT k AS row, path, reason, value, NULL::BIGINT AS id FROM cells
+       UNION ALL
+       SELECT NULL, 'kept', NULL, NULL, CAST(id AS BIGINT) FROM raw WHERE k NOT IN (SELECT k FROM cells)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as loose text: what does not fit is told cell by cell, and the rows that fit go on."""
+    line = "named_struct('nr', case when o_orderkey % 19 = i then 'x' else cast(i as string) end)"
+    raw = table(spark, folder, "orders").selectExpr(
+        "o_orderkey as k", *[f"{sql} as {name}" for name, sql in LOADED.items()], f"{numbered(line, 'i', 3, 'o_orderkey % 4')} as lines"
+    )
+    schema = T.StructType.fromDDL("id bigint, amount int, day date, lines array<struct<nr: int>>")
+    found = sources.quarantine(raw, schema, carried=["k"])
+    cells = found.cells.selectExpr("k as row", "path", "reason", "value", "cast(null as bigint) as id")
+    kept = found.kept.selectExpr("cast(null as bigint) as row", "'kept' as path", "null as reason", "null as value", "id")
+    return cells.unionByName(kept)
+
+
+@query(
+    "upsert_touched_buckets",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 64 = 5 THEN 'N' ELSE o_orderstatus END AS o_orderstatus, o_orderdate FROM orders
+       UNION ALL SELECT -o_orderkey, 'A', o_orderdate FROM orders WHERE o_orderkey % 64 = 5""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A table in buckets of keys takes updates; buckets without any keep their files."""
+    path = work_folder(spark, "orders")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    sources.write_keyed(orders, path, ["o_orderkey"], buckets=32)
+    some = orders.filter("o_orderkey % 64 = 5")
+    changed = some.selectExpr("o_orderkey", "'N' as o_orderstatus", "o_orderdate")
+    added = some.selectExpr("-o_orderkey as o_orderkey", "'A' as o_orderstatus", "o_orderdate")
+    sources.upsert_table(path, changed.unionByName(added), ["o_orderkey"], "o_orderdate", buckets=32)
+    return sources.read_keyed(spark, path)

@@ -18,7 +18,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """
     return df.select(
         *[
-            _fitted(_field(df.schema, wanted.name), lambda name: df[f"`{name}`"], wanted.dataType).alias(wanted.name)
+            _fitted(field_of(df.schema, wanted.name), lambda name: df[f"`{name}`"], wanted.dataType).alias(wanted.name)
             for wanted in schema.fields
         ]
     )
@@ -56,7 +56,7 @@ def narrowed(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
     )
 
 
-def _field(given: T.StructType, name: str) -> T.StructField | None:
+def field_of(given: T.StructType, name: str) -> T.StructField | None:
     """The field of that name; one that differs in case only will do if there is no other."""
     exact = [field for field in given.fields if field.name == name]
     loose = [field for field in given.fields if field.name.lower() == name.lower()]
@@ -66,26 +66,27 @@ def _field(given: T.StructType, name: str) -> T.StructField | None:
 def _fitted(given: T.StructField | None, get, wanted: T.DataType) -> Column:
     if given is None:
         return F.lit(None).cast(wanted)
-    return _fit(get(given.name), given.dataType, wanted)
+    return fit_value(get(given.name), given.dataType, wanted)
 
 
-def _fit(value: Column, given: T.DataType, wanted: T.DataType) -> Column:
+def fit_value(value: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """A value of one type as one of another; NULL where it does not fit."""
     if given.simpleString() == wanted.simpleString():
         return value
     if isinstance(given, T.StructType) and isinstance(wanted, T.StructType):
         fields = [
-            _fitted(_field(given, field.name), value.getField, field.dataType).alias(field.name)
+            _fitted(field_of(given, field.name), value.getField, field.dataType).alias(field.name)
             for field in wanted.fields
         ]
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType):
-        return F.transform(value, lambda item: _fit(item, given.elementType, wanted.elementType))
+        return F.transform(value, lambda item: fit_value(item, given.elementType, wanted.elementType))
     if isinstance(given, T.MapType) and isinstance(wanted, T.MapType):
         entries = F.transform(
             F.map_entries(value),
             lambda entry: F.struct(
-                _fit(entry["key"], given.keyType, wanted.keyType).alias("key"),
-                _fit(entry["value"], given.valueType, wanted.valueType).alias("value"),
+                fit_value(entry["key"], given.keyType, wanted.keyType).alias("key"),
+                fit_value(entry["value"], given.valueType, wanted.valueType).alias("value"),
             ),
         )
         known = F.filter(entries, lambda entry: entry["key"].isNotNull())

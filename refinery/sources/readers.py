@@ -12,13 +12,26 @@ from refinery.functions._columns import ColumnLike, as_column
 
 
 def read_entity(
-    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json", **options: Any
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    fmt: str = "json",
+    *,
+    corrupt: str | None = None,
+    **options: Any,
 ) -> DataFrame:
     """Nested records read with an explicit schema: no pass over the data to infer one.
 
     Fields the schema does not name are not parsed; fields it names and a record lacks are
     NULL. JSON is best kept as one record per line, so that large files can be split.
+
+    ``corrupt`` names a column to keep the text of records in that break off or have a field of the
+    wrong kind; it is NULL for all others (see ``quarantine``).
     """
+    if corrupt is not None:
+        declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        schema = T.StructType([*declared.fields, T.StructField(corrupt, T.StringType())])
+        options = {"columnNameOfCorruptRecord": corrupt, **options}
     return spark.read.schema(schema).options(**options).format(fmt).load(path)
 
 
