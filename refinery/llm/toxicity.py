@@ -8,12 +8,14 @@ keep a weight of their own. Hits inside an exception phrase do not count.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -49,13 +51,13 @@ _HITS = pa.list_(pa.struct([("term", pa.string()), ("weight", pa.float64()), ("s
 FOUND = f"struct<score:double,n_words:int,hits:{HITS}>"
 _FOUND = pa.struct([("score", pa.float64()), ("n_words", pa.int32()), ("hits", _HITS)])
 
-_hidden = re.compile("[" + "".join(re.escape(c) for c, plain in ALIKE.items() if not plain) + "̀-ͯ]")
+_hidden = frozenset(c for c, plain in ALIKE.items() if not plain) | frozenset(map(chr, range(0x300, 0x370)))
 _odd = {c: plain.lower() for c, plain in ALIKE.items() if plain} | {c.lower(): plain.lower() for c, plain in ALIKE.items() if plain}
 # Marks beyond ASCII part words as those of ASCII do.
 _odd |= {chr(o): " " for a, b in ((0xA0, 0xBF), (0x2000, 0x206F), (0x3000, 0x3020)) for o in range(a, b + 1) if chr(o) not in _odd}
 for _letter in "ªµº":
     _odd.pop(_letter, None)
-_folds = re.compile("[" + "".join(map(re.escape, sorted(_odd))) + "]")
+_strange = frozenset(_odd)
 _plain = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _signs = re.compile(b"[" + re.escape("".join(SUBSTITUTES)).encode() + b"]+")
 _first = bytes.maketrans("".join(SUBSTITUTES).encode(), "".join(SUBSTITUTES.values()).encode())
@@ -83,12 +85,14 @@ class Folded:
 def fold(text: str) -> Folded:
     kept = None
     if not text.isascii():
-        if _hidden.search(text):
-            kept = np.array([k for k, c in enumerate(text) if not _hidden.match(c)] + [len(text)])
-            text = _hidden.sub("", text)
+        # Most texts hold few different characters and none to fold, so these are looked up once each.
+        if dropped := _hidden.intersection(text):
+            kept = np.array([k for k, c in enumerate(text) if c not in dropped] + [len(text)])
+            text = "".join(c for c in text if c not in dropped)
         lower = text.lower()
         text = lower if len(lower) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-        text = _folds.sub(lambda m: _odd[m[0]], text)
+        for c in _strange.intersection(text):
+            text = text.replace(c, _odd[c])
     data = text.encode()
     spans = [m.span() for m in _signs.finditer(data)]
     # A sign stands for a letter inside a word, or as a digit at the word's start or end, up to three together.
@@ -147,6 +151,11 @@ class Model:
     curve: tuple[float, ...] = (-4.0, 0.5, 1.5)
     settings: Settings = field(default_factory=Settings)
 
+    @cached_property
+    def key(self) -> str:
+        """What tells models apart, short enough to compare for each text."""
+        return hashlib.sha256(repr((self.terms, self.exceptions)).encode()).hexdigest()
+
     def matcher(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
         entries = [(term.text, n) for n, term in enumerate(self.terms)] + [(phrase, -1) for phrase in self.exceptions]
@@ -217,8 +226,10 @@ def find(text: str, model: Model, matcher: ahocorasick.Automaton) -> dict:
 def toxicity(text: Column, model: Model) -> Column:
     """FOUND for each text. NULL counts as empty."""
 
+    key = ("toxicity", model.key)
+
     def run(content: str) -> dict:
-        return find(content, model, worker_cache(("toxicity", model), model.matcher))
+        return find(content, model, worker_cache(key, model.matcher))
 
     return per_text(run, FOUND, _FOUND)(text)
 
@@ -379,6 +390,8 @@ def train(
     first = Window.partitionBy("alike", "label").orderBy("_id", F.xxhash64("text"))
     ranked = marked.withColumn("number", F.row_number().over(first)).where("number = 1").select("_id", "text", "label")
     sample = keep_on_disk(ranked.orderBy(F.xxhash64("_id"), "_id").limit(settings.sample), "toxic-leaders")
+    # A limit leaves one part; learning from it takes longer than to deal it out again.
+    sample = sample.repartition(32, "_id")
     sizes = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not (toxic and clean):
@@ -406,7 +419,8 @@ def _with_curve(model: Model, sample: DataFrame) -> Model:
             yield pa.RecordBatch.from_pydict({"x": [list(row) for row in rows], "label": batch["label"].to_pylist()})
 
     # A sum over rows depends on their order in its last digits, so they are put in order.
-    rows = sample.select("text", "label").mapInArrow(measure, "x array<double>, label bigint").orderBy("label", "x").collect()
+    rows = sample.select("text", "label").mapInArrow(measure, "x array<double>, label bigint").collect()
+    rows.sort(key=lambda row: (row["label"], row["x"]))
     x, y = np.array([row["x"] for row in rows]), np.array([row["label"] for row in rows], dtype=float)
     return Model(
         model.terms, model.exceptions, model.toxic_texts, model.clean_texts, fit_curve(x, y), model.settings
