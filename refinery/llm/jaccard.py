@@ -215,18 +215,17 @@ def jaccard_links(
         (100 + percent) * most >= percent * (F.col("a_size") + F.col("b_size"))
     )
 
+    apart = sum(
+        (F.bit_count(F.col("a_bits")[k].bitwiseXOR(F.col("b_bits")[k])) for k in range(settings.bitmap_words)),
+        F.lit(0),
+    )
+    total = F.col("a_n") + F.col("b_n")
+    # With d shingles not shared of a total of t, the Jaccard similarity is (t - d) / (t + d).
+    possible = 100 * (total - apart) >= percent * (total + apart)
+    details = classes.select("node", F.col("size").alias("n"), "bits")
+
     def verify(pairs: DataFrame) -> DataFrame:
-        sides = [
-            classes.select(F.col("node").alias(s), F.col("size").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
-            for s in ("a", "b")
-        ]
-        apart = sum(
-            (F.bit_count(F.col("a_bits")[k].bitwiseXOR(F.col("b_bits")[k])) for k in range(settings.bitmap_words)),
-            F.lit(0),
-        )
-        total = F.col("a_n") + F.col("b_n")
-        # With d shingles not shared of a total of t, the Jaccard similarity is (t - d) / (t + d).
-        possible = 100 * (total - apart) >= percent * (total + apart)
+        sides = [details.select(*[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in details.columns]) for s in ("a", "b")]
         left = pairs.join(sides[0], "a").join(sides[1], "b").where(possible).select("a", "b").distinct()
         left = keep_on_disk(left, "candidates")
         nodes = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
@@ -243,7 +242,9 @@ def jaccard_links(
 
     # Of near copies, those with few shingles of their own meet a shared one early; they lead.
     turn = F.shiftleft(F.col("at").cast("long"), 32) + F.pmod(F.xxhash64("node", "key"), F.lit(1 << 32))
-    return signed, classes, link_by_keys(postings, verify, near=near, enough=F.col("shared") >= matches, turn=turn)
+    enough = F.col("shared") >= matches
+    links = link_by_keys(postings, verify, near=near, enough=enough, turn=turn, details=details, alike=possible)
+    return signed, classes, links
 
 
 def jaccard_classes(

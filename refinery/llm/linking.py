@@ -115,22 +115,35 @@ ROUNDS = 2
 
 
 def link_by_keys(
-    postings: DataFrame, verify: Verify, *, near: Column, enough: Column, turn: Column | None = None
+    postings: DataFrame,
+    verify: Verify,
+    *,
+    near: Column,
+    enough: Column,
+    turn: Column | None = None,
+    details: DataFrame | None = None,
+    alike: Column | None = None,
 ) -> DataFrame:
     """Links (a, b) of nodes that share keys: by leaders first and then across components.
 
     Keys get a leader by ``turn`` first, and eight by chance where that leaves several components.
 
     See :func:`link_to_leaders`. ``enough`` says whether two nodes with ``shared`` keys in common must
-    be verified; it sees the pair's first values. Leaves out links between nodes that others connect
+    be verified; it sees the pair's first values. ``details``, by node, are what ``alike`` speaks of: a closer test of two
+    nodes than ``near``, made while nodes of different components meet, so that pairs which fail it are never rows. Leaves out links between nodes that others connect
     already, so the components are those of all links.
     """
     extra = [name for name in postings.columns if name not in ("key", "node")]
+    needed = list(extra)
     sure = link_to_leaders(postings, verify, near=near, turn=turn)
     placed = still_open(postings, connected_components(sure, rounds=ROUNDS))
     if turn is not None:
         sure = keep_on_disk(sure.union(link_to_leaders(placed, verify, near=near, leaders=8)), "links")
         placed = still_open(placed.drop("component"), connected_components(sure, rounds=ROUNDS))
+    if details is not None:
+        extra += [name for name in details.columns if name != "node"]
+        placed = keep_on_disk(placed.join(details, "node"), "placed")
+        near = near & alike
     sides = [
         placed.select(
             "key",
@@ -142,7 +155,7 @@ def link_by_keys(
     ]
     pairs = sides[0].join(sides[1], "key").where("a < b AND a_component <> b_component").where(near)
     counted = pairs.groupBy("a", "b").agg(
-        F.count("*").alias("shared"), *(F.first(f"{s}_{name}").alias(f"{s}_{name}") for s in "ab" for name in extra)
+        F.count("*").alias("shared"), *(F.first(f"{s}_{name}").alias(f"{s}_{name}") for s in "ab" for name in needed)
     )
     more = verify(counted.where(enough).select("a", "b"))
     return sure.union(more.select("a", "b"))
