@@ -18,6 +18,7 @@ from refinery import sources
 from refinery.plans.queries.payloads import Children, numbered
 from refinery.plans.queries.query import Catalog, table
 from refinery.session import work_folder
+from refinery.streaming import merge_stream
 
 CATALOG = Catalog()
 query = CATALOG.add
@@ -1094,3 +1095,81 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     added = some.selectExpr("-o_orderkey as o_orderkey", "'A' as o_orderstatus", "o_orderdate")
     sources.upsert_table(path, changed.unionByName(added), ["o_orderkey"], "o_orderdate", buckets=32)
     return sources.read_keyed(spark, path)
+
+
+# Orders that are not finished, and customers of some segments, are taken to be missing.
+RELATIONS = {
+    "order": ("l_orderkey", "orders", "o_orderkey", "o_orderstatus = 'F'"),
+    "part": ("l_partkey", "part", "p_partkey", "p_size > 5"),
+    "supplier": ("l_suppkey", "supplier", "s_suppkey", "s_acctbal > 0"),
+}
+
+
+def relations(spark: SparkSession, folder: str) -> dict[str, op.Relation]:
+    return {
+        name: op.Relation(foreign, table(spark, folder, parent).filter(there), key)
+        for name, (foreign, parent, key, there) in RELATIONS.items()
+    }
+
+
+@query(
+    "orphan_report",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS relation, CAST({foreign} AS VARCHAR) AS key, count(*) AS rows FROM lineitem
+            WHERE {foreign} NOT IN (SELECT {key} FROM {parent} WHERE {there}) GROUP BY {foreign}"""
+        for name, (foreign, parent, key, there) in RELATIONS.items()
+    ),
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Foreign keys without parent, for all relations of a table."""
+    return op.orphan_report(table(spark, folder, "lineitem"), relations(spark, folder))
+
+
+@query(
+    "orphan_rows",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+       WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return op.orphan_rows(lines, relations(spark, folder)["part"])
+
+
+# What a first run read of the lines, and what a second one that looks back reads: some have come since, some were corrected.
+FIRST_READ = """SELECT l_orderkey, l_linenumber, l_suppkey,
+    CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_extendedprice
+    FROM lineitem WHERE l_linestatus = 'F' OR l_quantity < 30"""
+LOOKED_BACK = "SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice FROM lineitem WHERE l_quantity < 45"
+
+
+@query(
+    "lookback_rollup",
+    f"""SELECT l_suppkey, count(*) AS rows, CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS quantity,
+              CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS price
+       FROM ({LOOKED_BACK}) GROUP BY l_suppkey""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored roll-up and signed deltas of what a second read shows give the roll-up of the second read."""
+    lines = table(spark, folder, "lineitem")
+    before, after = (spark.sql(sql.replace("FROM lineitem", "FROM {lines}"), lines=lines) for sql in (FIRST_READ, LOOKED_BACK))
+    keys = {"l_suppkey": "l_suppkey"}
+    sums = {"quantity": F.col("l_quantity").cast("decimal(18,2)"), "price": F.col("l_extendedprice").cast("decimal(18,2)")}
+    stored = op.additive_rollup(before, keys, sums)
+    changed = op.snapshot_difference(before, after, ["l_orderkey", "l_linenumber"])
+    return op.apply_deltas(stored, op.rollup_deltas(changed, keys, sums), ["l_suppkey"])
+
+
+@query(
+    "stream_latest_per_user",
+    """SELECT user_id, event_id, event_type, ts FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, user_id, event_id, event_type) AS rn FROM events)
+       WHERE rn = 1""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a stream of files, merged micro-batch by micro-batch into a table of the latest of each user."""
+    landed, path = work_folder(spark, "landed-events"), work_folder(spark, "latest-events")
+    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", "ts")
+    events.repartition(3, "event_id").write.parquet(landed)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    merge_stream(stream, path, ["user_id"], "ts", work_folder(spark, "stream-state"), buckets=8).awaitTermination()
+    return sources.read_keyed(spark, path)

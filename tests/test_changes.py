@@ -304,3 +304,66 @@ def test_history_rewrites_touched_buckets_only(spark, tmp_path):
     assert rows(sources.read_keyed(spark, path)) == history_of(old + late)
     kept = {name for name in before if not any(f"key_bucket={b}/" in name for b in touched)}
     assert kept and all(files(path).get(name) == before[name] for name in kept)
+
+
+# --- foreign keys ---------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("words", [1, 1 << 21, 0])
+def test_orphans(spark, monkeypatch, words):
+    from refinery.operators import references
+
+    monkeypatch.setattr(references, "MOST_WORDS", words)
+    rnd = random.Random(3)
+    lines = [(n, rnd.choice([None, *range(300)]), f"o{rnd.randrange(4)}", "own") for n in range(2000)]
+    children = spark.createDataFrame(lines, "n int, fk int, other string, rows string")
+    parents = spark.createDataFrame([(k, f"o{k}") for k in [*range(0, 300, 2), 1, 1, None]], "id long, name string")
+    relations = {"fk": op.Relation("fk", parents, "id"), "other": op.Relation("other", parents, "name")}
+    known = {r[0] for r in parents.collect()}
+    want = Counter(fk for _, fk, *_ in lines if fk is not None and fk not in known)
+    assert {r["key"]: r["rows"] for r in op.orphans(children, relations["fk"]).collect()} == want
+    report = {(r["relation"], r["key"]): r["rows"] for r in op.orphan_report(children, relations).collect()}
+    others = Counter(o for _, _, o, _ in lines if o == "o3")
+    assert report == {("fk", str(k)): n for k, n in want.items()} | {("other", k): n for k, n in others.items() if k not in {"o1"}} | (
+        {} if not others else {("other", "o3"): others["o3"]}
+    )
+    got = op.orphan_rows(children, relations["fk"])
+    assert got.columns == children.columns
+    assert rows(got) == Counter(line for line in lines if line[1] in want)
+    assert op.orphan_rows(children, op.Relation("fk", children, "fk")).count() == 0
+
+
+def test_rows_with_parents_stay_where_they_are(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    spark.range(5000).selectExpr("id", "id % 1000 as fk").write.parquet(str(tmp_path / "c"))
+    spark.range(999).selectExpr("id as key").write.parquet(str(tmp_path / "p"))
+    children, parents = (spark.read.parquet(str(tmp_path / name)) for name in "cp")
+    found = op.orphan_rows(children, op.Relation("fk", parents, "key"))
+    assert nodes(found, "BroadcastHashJoin") == 1
+    assert sorted(r["id"] for r in found.collect()) == [999, 1999, 2999, 3999, 4999]
+    # Rows are shuffled behind the filter only: their exchange lies above the broadcast join.
+    text = found._jdf.queryExecution().executedPlan().toString()
+    own = next(line for line in text.splitlines() if "Exchange hashpartitioning(_own" in line)
+    assert text.index(own) < text.index("BroadcastHashJoin")
+
+
+# --- roll-ups and what changed --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_deltas_keep_a_rollup_equal_to_that_of_all_rows(spark, seed):
+    rnd = random.Random(seed)
+    old = [(n, rnd.choice(["a", "b", None]), rnd.choice([None, 1.25, 2.5])) for n in range(60)]
+    new = [(n, k if rnd.random() < 0.9 else "c", v if rnd.random() < 0.8 else 7.75) for n, k, v in old if rnd.random() < 0.9]
+    new += [(100 + n, "a", 0.5) for n in range(5)]
+    schema = "id int, k string, v double"
+    before, after = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    sums = {"total": F.col("v").cast("decimal(18,2)")}
+    stored = op.additive_rollup(before, {"k": "k"}, sums)
+    deltas = op.rollup_deltas(op.snapshot_difference(before, after, ["id"]), {"k": "k"}, sums)
+    assert rows(op.apply_deltas(stored, deltas, ["k"])) == rows(op.additive_rollup(after, {"k": "k"}, sums))
+    nothing = op.rollup_deltas(op.snapshot_difference(after, after, ["id"]), {"k": "k"}, sums)
+    assert rows(op.apply_deltas(stored, nothing, ["k"])) == rows(stored)
+    with pytest.raises(ValueError, match="decimal"):
+        op.additive_rollup(before, {"k": "k"}, {"total": "v"})

@@ -44,3 +44,37 @@ def test_every_rowwise_pipeline_accepts_a_stream(spark, tmp_path):
         else:
             with pytest.raises(ValueError, match="batches"):
                 streaming.refine_stream(stream, name)
+
+
+def test_the_latest_of_a_stream_equals_the_latest_of_all_rows(spark, tmp_path):
+    import random
+
+    from refinery import operators as op
+    from refinery import sources
+
+    raw, table = tmp_path / "raw", str(tmp_path / "table")
+    raw.mkdir()
+    rnd = random.Random(4)
+    schema = "k string, ts int, v string"
+    everything = []
+
+    def land(number):
+        batch = [{"k": rnd.choice(["a", "b", "c", None]), "ts": rnd.randrange(6), "v": rnd.choice("xyz")} for _ in range(8)]
+        everything.extend(batch)
+        (raw / f"{number}.json").write_text("".join(json.dumps(row) + "\n" for row in batch))
+
+    def run(checkpoint):
+        stream = streaming.read_stream(spark, str(raw), schema, maxFilesPerTrigger=1)
+        streaming.merge_stream(stream, table, ["k"], "ts", str(tmp_path / checkpoint), buckets=4).awaitTermination(120)
+        return rows(sources.read_keyed(spark, table))
+
+    def latest():
+        return rows(op.latest_per_key(spark.createDataFrame([(r["k"], r["ts"], r["v"]) for r in everything], schema), ["k"], "ts"))
+
+    land(1)
+    land(2)
+    assert run("first") == latest()
+    land(3)
+    assert run("first") == latest()
+    # Without its checkpoint the query starts over: all batches are merged again and change nothing.
+    assert run("second") == latest()
