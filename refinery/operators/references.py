@@ -77,5 +77,6 @@ def orphan_rows(children: DataFrame, relation: Relation) -> DataFrame:
         # At most 16 MB, by the count above.
         marked = marked.join(F.broadcast(table), F.col(f"{word}_") == F.col(word))
         marked = marked.filter(F.col(bits).bitwiseAND(F.col(mask)) == F.col(mask))
-    found = marked.join(lost, F.col(own) == F.col(key), "left_semi")
+    # Keys are distinct, so each row is found once; a semi-join would be moved below the filter.
+    found = marked.join(lost, F.col(own) == F.col(key))
     return found.select(*[F.col(f"`{column}`") for column in children.columns])
