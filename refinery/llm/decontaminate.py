@@ -3,7 +3,8 @@
 Texts become canonical tokens: numbers, names and units are replaced by typed placeholders, and what
 stood there is kept as the value of a slot. Windows of canonical tokens are joined by hash with
 those of the benchmark, and for windows in the same alignment the slots must be consistent: one
-value of the item always stands for one value of the document, and the other way round.
+value of the item always stands for one value of the document, and the other way round. Windows that hold a
+value of which this is not true do not count.
 """
 
 from __future__ import annotations
@@ -225,6 +226,40 @@ def document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray, settin
     return docs.mapInArrow(windows, WINDOWS)
 
 
+def _consistent(met: DataFrame) -> DataFrame:
+    """The windows met whose slots say nothing that others of the same alignment contradict.
+
+    A value of the item that stands for two values of the document, or the other way round, takes the windows with it
+    that hold it, and no others: one changed number does not hide the rest of a passage. Read word for
+    word there are no slots, so windows that agree always count.
+    """
+    place = ["doc_id", "item_id", "reading", "shift"]
+    window = [*place, "size", "item_position"]
+    paired = F.arrays_zip(F.col("said").alias("a"), F.col("slots").alias("b"))
+    slots = met.select(*window, F.explode(paired).alias("slot"))
+    torn = (
+        slots.groupBy(*place)
+        .agg(
+            F.countDistinct("slot").alias("pairs"),
+            F.countDistinct("slot.a").alias("theirs"),
+            F.countDistinct("slot.b").alias("ours"),
+        )
+        .where("pairs <> theirs OR pairs <> ours")
+        .select(*place)
+    )
+    # Few alignments are torn; only theirs are looked at slot by slot.
+    said = keep_on_disk(slots.join(torn, place, "left_semi").select(*window, "slot.a", "slot.b").distinct(), "torn-slots")
+    gone = [
+        said.join(
+            said.groupBy(*place, one).agg(F.countDistinct(other).alias("values")).where("values > 1").select(*place, one),
+            [*place, one],
+            "left_semi",
+        ).select(*window)
+        for one, other in (("a", "b"), ("b", "a"))
+    ]
+    return met.join(gone[0].union(gone[1]).distinct(), window, "left_anti")
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -262,40 +297,21 @@ def leaks(
     )
     named = theirs.select(
         F.col("id").alias("item_id"), "size", "reading", F.col("position").alias("item_position"),
-        F.col("word").alias("item_word"), "hash", F.col("slots").alias("said"),
+        "hash", F.col("slots").alias("said"),
     )
     met = ours.withColumnRenamed("id", "doc_id").join(named, ["hash", "size", "reading"])
     met = met.select(
         "doc_id",
         "item_id",
         "reading",
+        "size",
         "item_position",
         (F.col("position") - F.col("item_position")).alias("shift"),
-        (F.col("word") - F.col("item_word")).alias("word_shift"),
         "slots",
         "said",
     )
-    paired = F.arrays_zip(F.col("said").alias("a"), F.col("slots").alias("b"))
-    place = ["doc_id", "item_id", "reading", "shift"]
-    slots = met.select(*place, "word_shift", F.explode(paired).alias("slot"))
-    torn = (
-        slots.groupBy(*place)
-        .agg(
-            F.countDistinct("slot").alias("pairs"),
-            F.countDistinct("slot.a").alias("theirs"),
-            F.countDistinct("slot.b").alias("ours"),
-            F.collect_set("word_shift").alias("word_shifts"),
-        )
-        .where("pairs <> theirs OR pairs <> ours")
-    )
-    # Word for word, windows count where the first reading has no contradiction in the same alignment of words.
-    torn = torn.select(*place).union(
-        torn.where(F.col("reading") == PLAIN).select(
-            "doc_id", "item_id", F.lit(WORDS).alias("reading"), F.explode("word_shifts").alias("shift")
-        )
-    )
     found = (
-        met.join(torn.distinct(), place, "left_anti")
+        _consistent(met)
         .groupBy("doc_id", "item_id", "reading")
         .agg(F.countDistinct("item_position").alias("windows"), F.min(F.expr("said = slots")).alias("verbatim"))
         .join(totals, ["item_id", "reading"])

@@ -169,18 +169,55 @@ def test_leaks(spark, text, leaked):
     assert decontaminate.leaks(docs, items).count() == int(leaked)
 
 
+def found_leaks(spark, item, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return {r["doc_id"]: r["verbatim"] for r in decontaminate.leaks(docs, items).collect()}
+
+
 def test_slots_must_be_consistent(spark):
+    item = "take 5 red marbles and put 5 blue marbles into a box"
+    texts = [item, item.replace("5", "8"), item.replace("5", "8", 1), item.replace("5", "8", 1).replace("5", "7")]
+    # The third has three of five windows word for word; in the last both 5s differ, and no window without one is left.
+    assert found_leaks(spark, item, texts) == {0: True, 1: False, 2: True}
+
+
+def test_one_contradiction_does_not_hide_the_rest(spark):
     item = "take 5 red marbles and put 5 blue marbles into a box then count all marbles and add 9 more to it"
-    texts = [
-        (1, item),
-        (2, item.replace("5", "8").replace("9", "2")),
-        (3, item.replace("5", "8", 1)),
-        (4, item.replace("9", "5")),
-    ]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    items = spark.createDataFrame([(1, item)], "item_id long, text string")
-    out = {r["doc_id"]: r["verbatim"] for r in decontaminate.leaks(docs, items).collect()}
-    assert out == {1: True, 2: False}
+    # Thirteen and eleven of its fifteen windows are there word for word.
+    assert found_leaks(spark, item, [item.replace("5", "8", 1), item.replace("9", "5")]).keys() == {0, 1}
+    tom = "Tom walks 5 km to the shop near the old bridge and buys 3 kg of rice for his mother before the rain comes down"
+    assert found_leaks(spark, tom, [tom.replace("5 km", "3 km"), tom.replace("3 kg", "5 kg")]).keys() == {0, 1}
+    long = " ".join(words(150)) + " he had 4 of them then " + " ".join(words(150)) + " and 4 were left"
+    assert found_leaks(spark, long, [long.replace("4", "6", 1)]).keys() == {0}
+
+
+def test_every_run_of_eight_words_that_is_shared_counts(spark):
+    """Against sets of all eight-word windows: enough of an item's windows word for word is always a leak."""
+    small = random.Random(12)
+    items = {k: " ".join(small.choices(VOCABULARY, k=small.randint(8, 40))) for k in range(30)}
+    texts = []
+    for _ in range(120):
+        take = items[small.randrange(30)].split()
+        start = small.randrange(len(take))
+        piece = take[start : start + small.randint(4, 30)]
+        texts.append(" ".join([*small.choices(VOCABULARY, k=5), *piece, *small.choices(VOCABULARY, k=5)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, frame).collect()}
+
+    def windows(text):
+        w = text.split()
+        return {k: tuple(w[k : k + 8]) for k in range(len(w) - 7)}
+
+    want = set()
+    for d, text in enumerate(texts):
+        have = set(windows(text).values())
+        for i, item in items.items():
+            shared = sum(window in have for window in windows(item).values())
+            if shared >= 6 or shared >= 0.5 * len(windows(item)):
+                want.add((d, i))
+    assert got == want
 
 
 @pytest.mark.parametrize(
@@ -285,3 +322,36 @@ def test_held_out_rows(spark):
     frame = spark.createDataFrame(ids, "doc_id long").select("doc_id", quality.held_out(quality.F.col("doc_id")).alias("h"))
     for i, h in frame.collect():
         assert h == (i is not None and zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_variants_of_one_text_are_compared_in_proportion(spark, monkeypatch):
+    """Near copies that are mostly not alike enough: what is left to verify grows with their number, not its square."""
+    small = random.Random(21)
+    base = [f"b{k}" for k in range(120)]
+    counted = {}
+
+    def variants(n):
+        for k in range(n):
+            text = list(base)
+            for at in small.sample(range(120), small.choice([1, 2, 3, 3, 4, 4])):
+                text[at] = f"v{k}x{at}"
+            yield k, " ".join(text)
+
+    keep = jaccard.keep_on_disk
+
+    def counting(df, name):
+        out = keep(df, name)
+        if name == "candidates":
+            counted[size] = counted.get(size, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "keep_on_disk", counting)
+    for size in (250, 2000):
+        rows = list(variants(size))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_classes(docs).collect()}
+        if size == 250:
+            sets = [{tuple(t.split()[i : i + 3]) for i in range(118)} for _, t in rows]
+            links = [(a, b) for a in range(size) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+            assert got == components(links, range(size))
+    assert counted[2000] <= 3 * 8 * counted[250]
