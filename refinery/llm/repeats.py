@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import free_name, keep_on_disk
+from refinery.llm.common import empty, free_name, keep_on_disk
 from refinery.llm.hashing import (
     BY_PUNCTUATION,
     Words,
     as_long,
+    filter_bits,
     hash_filter,
     in_filter,
     mix,
@@ -255,26 +256,65 @@ def windows_of(texts: list[str], settings: Settings) -> Windows:
     return Windows(half, w, points[w.starts] - before, points[w.ends] - before, halves, names, inside)
 
 
-def shared_names(texts: DataFrame, settings: Settings) -> np.ndarray:
-    """The filter of the names that occur in more than one place."""
-    reach = settings.passage_words // 2 + 1
+def passage_names(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(doc_id, sum, name, n): the names of each text's windows and in how many places each stands. On shared disk.
+
+    Windows that lie wholly in a span of ``gone`` have none. A name is the least hash of half a window, so it holds
+    for about as many windows in a row as half a window has words.
+    """
+    reach, size = settings.passage_words // 2 + 1, settings.passage_words
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, some in text_batches(batch, "text"):
+            for first, some in text_batches(batch, "text"):
                 w = windows_of([text or "" for text in some], settings)
-                at = np.flatnonzero(w.inside)
+                at = _left(w, batch["gone"].slice(first, len(some)).to_pylist(), size)
+                text, names = w.words.text[at], w.names[at]
                 # Windows in a row with one name are one place, unless there are more than can hold it.
                 new = np.ones(len(at), dtype=bool)
-                new[1:] = (w.names[at[1:]] != w.names[at[:-1]]) | (w.words.text[at[1:]] != w.words.text[at[:-1]])
+                new[1:] = (names[1:] != names[:-1]) | (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)
                 firsts = np.flatnonzero(new)
                 places = -(-np.diff(np.append(firsts, len(at))) // reach)
-                keys, back = np.unique(w.names[at[firsts]], return_inverse=True)
-                counts = np.bincount(back, weights=places, minlength=len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"key": as_long(keys), "n": counts})
+                order = np.lexsort((names[firsts], text[firsts]))
+                text, names, places = text[firsts][order], names[firsts][order], places[order]
+                heads = np.ones(len(text), dtype=bool)
+                heads[1:] = (names[1:] != names[:-1]) | (text[1:] != text[:-1])
+                heads = np.flatnonzero(heads)
+                counts = np.add.reduceat(places, heads) if len(heads) else places
+                rows = first + text[heads]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": np.asarray(batch["doc_id"])[rows],
+                        "sum": np.asarray(batch["sum"])[rows],
+                        "name": as_long(names[heads]),
+                        "n": counts.astype(np.int32),
+                    }
+                )
+
+    kind = "doc_id long, sum long, name long, n int"
+    return keep_on_disk(texts.select("doc_id", "sum", "text", "gone").mapInArrow(name, kind), "passage-names")
+
+
+def _met(texts: DataFrame, found: DataFrame, keys: list[str], how: str) -> tuple[DataFrame, DataFrame]:
+    """``texts`` in two parts: those surely without a row of ``found`` by its keys, left in place, and the others joined
+    with it. A filter sized by ``found``, a written table, tells them apart."""
+    hashed = F.xxhash64(*keys)
+    table = hash_filter(found.select(hashed), filter_bits(found.count()))
+    sent = texts.sparkSession.sparkContext.broadcast(table)
 
-    counted = texts.select("text").mapInArrow(name, "key long, n long")
-    return hash_filter(counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
+    def among(hashes: pa.Array) -> pa.Array:
+        return pa.array(in_filter(sent.value, np.asarray(hashes, dtype=np.int64).view(np.uint64)))
+
+    among.__annotations__ = {"hashes": pa.Array, "return": pa.Array}
+    marked = texts.withColumn("maybe", F.arrow_udf(among, "boolean")(hashed))
+    return marked.where("NOT maybe").drop("maybe"), marked.where("maybe").drop("maybe").join(found, keys, how)
+
+
+def _left(w: Windows, spans: list[list[dict] | None], size: int) -> np.ndarray:
+    """The windows that do not lie wholly in spans of their text."""
+    taken = np.append(0, np.cumsum(_gone(w, spans)))
+    at = np.flatnonzero(w.inside)
+    return at[taken[at + size] - taken[at] < size]
 
 
 def _covered(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -308,34 +348,40 @@ def repeated_passages(texts: DataFrame, gone: DataFrame, settings: Settings) ->
     of words in others only, so every window that is dropped stays whole elsewhere. Passages with a common
     name of a window are one component, which may keep several passages.
 
-    Copies within one text that overlap by more than half are not looked for. Texts are read twice in
-    place; only those with a shared name are shuffled.
+    Copies within one text that overlap by more than half are not looked for. Names are counted exactly,
+    one in about a quarter of a window's words; windows are listed only where their text has a name
+    that stands elsewhere too. Only texts with dropped spans, or with such a name, are shuffled.
     """
-    spark, size = texts.sparkSession, settings.passage_words
-    texts = texts.where("doc_id IS NOT NULL")
-    sent = spark.sparkContext.broadcast(shared_names(texts, settings))
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, part in text_batches(batch, "text"):
-                w = windows_of([text or "" for text in part], settings)
-                at = np.flatnonzero(w.inside)
-                rows = np.unique(w.words.text[at[in_filter(sent.value, w.names[at])]])
-                yield batch.slice(first, len(part)).take(pa.array(rows, pa.int64()))
-
-    dropped = gone.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
-    held = texts.select("doc_id", "text").mapInArrow(some, "doc_id long, text string")
-    held = held.join(dropped, "doc_id", "left").withColumn("row", F.monotonically_increasing_id())
-    held = keep_on_disk(held, "texts-with-passages")
+    size = settings.passage_words
+    texts = texts.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("sum"))
+    dropped = keep_on_disk(gone.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("gone")), "dropped")
+    whole, cut_up = _met(texts, dropped, ["doc_id"], "left")
+    cut_up = keep_on_disk(cut_up.select("doc_id", "text", "sum", "gone"), "texts-cut-up")
+    known = whole.withColumn("gone", F.lit(None).cast(dropped.schema["gone"].dataType)).unionByName(cut_up)
+
+    named = passage_names(known, settings)
+    twice = named.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name")
+    shared = named.join(twice, "name").groupBy("doc_id", "sum").agg(F.collect_set("name").alias("shared"))
+    _, held = _met(known, keep_on_disk(shared, "shared-names"), ["doc_id", "sum"], "inner")
+    held = held.withColumn("row", F.monotonically_increasing_id())
+    held = keep_on_disk(held.select("row", "doc_id", "text", "gone", "shared"), "texts-with-passages")
+    empty(named)
 
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in text_batches(batch, "text"):
                 w = windows_of([text or "" for text in part], settings)
-                taken = np.append(0, np.cumsum(_gone(w, batch["gone"].slice(first, len(part)).to_pylist())))
-                at = np.flatnonzero(w.inside)
-                inside = taken[at + size] - taken[at]
-                at = at[(inside < size) & in_filter(sent.value, w.names[at])]
+                spans = batch["gone"].slice(first, len(part)).to_pylist()
+                at = _left(w, spans, size)
+                lists = batch["shared"].slice(first, len(part))
+                bounds = np.searchsorted(w.words.text[at], np.arange(len(part) + 1))
+                pieces = [
+                    run[np.isin(w.names[run], np.asarray(lists[k].values, dtype=np.int64).view(np.uint64))]
+                    for k in range(len(part))
+                    if len(run := at[bounds[k] : bounds[k + 1]])
+                ]
+                at = np.concatenate([at[:0], *pieces])
+                taken = np.append(0, np.cumsum(_gone(w, spans)))
                 text = w.words.text[at]
                 yield pa.RecordBatch.from_pydict(
                     {
