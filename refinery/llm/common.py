@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -80,12 +81,24 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["base"] & (s["kind"] == kind))).cast("long")
 
 
-def keep_on_disk(df: DataFrame, name: str) -> DataFrame:
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def keep_on_disk(df: DataFrame, name: str, *, compression: str = "snappy") -> DataFrame:
     """Writes ``df`` below the shared checkpoint folder and reads it back.
 
     Cuts the lineage, is computed once however often it is used, and outlives lost executors.
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    _paths[kept] = path
+    return kept
+
+
+def empty(*tables: DataFrame) -> None:
+    """Frees the disk of tables of :func:`keep_on_disk` that nothing reads any more: all that was made of them is written."""
+    for table in tables:
+        nothing = table.sparkSession.createDataFrame([], table.schema)
+        nothing.write.mode("overwrite").parquet(_paths[table])

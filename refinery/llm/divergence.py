@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.common import keep_on_disk, slices
+from refinery.llm.common import empty, keep_on_disk, slices
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -114,7 +114,7 @@ def chunk_counts(docs: DataFrame, settings: Settings) -> DataFrame:
                     yield counted.slice(at, 1 << 15)
 
     numbered = docs.select(F.monotonically_increasing_id().alias("id"), "lang", "source", "text")
-    return keep_on_disk(numbered.mapInArrow(count, COUNTS), "chunk-counts")
+    return keep_on_disk(numbered.mapInArrow(count, COUNTS), "chunk-counts", compression="zstd")
 
 
 def terms_of(chunk: Column) -> Column:
@@ -131,7 +131,8 @@ def kept_chunks(counts: DataFrame, settings: Settings) -> DataFrame:
     per_chunk = keep_on_disk(counts.groupBy("lang", "chunk").agg(F.sum("df").alias("df")), "chunks")
     # Equal chunks of several languages share one row, so that each is taken apart once.
     distinct = per_chunk.select("chunk").distinct().select("chunk", F.inline(terms_of(F.col("chunk"))))
-    parts = keep_on_disk(per_chunk.join(distinct, "chunk"), "chunk-terms")
+    parts = keep_on_disk(per_chunk.join(distinct, "chunk"), "chunk-terms", compression="zstd")
+    empty(per_chunk)
     bounds = parts.groupBy("lang", "term").agg(F.max("df").alias("least"), F.sum("df").alias("most"))
     alive = keep_on_disk(bounds.where(F.col("most") >= settings.least_docs), "terms")
     sure = alive.where(F.col("least") >= settings.least_docs).select("lang", "term")
@@ -145,7 +146,10 @@ def kept_chunks(counts: DataFrame, settings: Settings) -> DataFrame:
     found = places.select("lang", "term", F.explode("docs").alias("doc")).groupBy("lang", "term")
     counted = found.agg(F.count_distinct("doc").alias("df")).where(F.col("df") >= settings.least_docs)
     kept = sure.unionByName(counted.select("lang", "term"))
-    return keep_on_disk(parts.join(kept, ["lang", "term"]).select("lang", "chunk", "term", "times"), "kept-chunks")
+    chunks = parts.join(kept, ["lang", "term"]).select("lang", "chunk", "term", "times")
+    chunks = keep_on_disk(chunks, "kept-chunks", compression="zstd")
+    empty(parts, alive)
+    return chunks
 
 
 def term_counts(counts: DataFrame, kept: DataFrame) -> DataFrame:
@@ -265,7 +269,9 @@ def source_divergence(
     """
     clean = docs.select(*(F.coalesce(docs[c], F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))))
     counts = chunk_counts(clean, settings)
-    found = term_counts(counts, kept_chunks(counts, settings))
+    kept = kept_chunks(counts, settings)
+    found = term_counts(counts, kept)
+    empty(counts, kept)
     in_lang = keep_on_disk(found.groupBy("lang", "term").agg(F.sum("n").alias("lang_n")), "lang-terms")
     lang_totals = in_lang.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
