@@ -5,6 +5,7 @@ first, by the number of documents they occur in. If a block holds at least ``nee
 n words, then one of the first ``n - need + 1`` of the passage's words is in the block (prefix
 filter), the block has at least ``need`` words of passages at all (length filter), and behind the
 first shared word enough words are left on both sides (positional filter). What passes is counted.
+Short passages are then looked for word by word, and passages that two licenses share by the words in which they differ.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ def words_of(text: str) -> list[bytes]:
 class Passage:
     label: str
     words: frozenset[bytes]
+    sequence: tuple[bytes, ...] = ()
 
 
 def passages(licenses: Mapping[str, Sequence[str]], most: int = PASSAGE_WORDS) -> list[Passage]:
@@ -51,22 +53,55 @@ def passages(licenses: Mapping[str, Sequence[str]], most: int = PASSAGE_WORDS) -
             words = words_of(text)
             parts = ceil(len(words) / most)
             for k in range(parts):
-                found.append(
-                    Passage(label, frozenset(words[k * len(words) // parts : (k + 1) * len(words) // parts]))
-                )
+                part = words[k * len(words) // parts : (k + 1) * len(words) // parts]
+                found.append(Passage(label, frozenset(part), tuple(part)))
     return found
 
 
+# Passages with fewer words are common turns of phrase as sets, so they are taken as they stand.
+IN_ORDER_BELOW = 12
+# Of the words that tell a passage from another license's texts, the share that a block must hold.
+TELLING = 0.6
+
+
 class PassageIndex:
-    """Passages with their words as ranks in the global order, and an index of their prefixes."""
+    """Passages with their words as ranks in the global order, and an index of their prefixes.
 
-    def __init__(self, found: Sequence[Passage], frequency: Mapping[bytes, int], containment: float):
+    Passages of fewer than ``in_order_below`` words have to be in a block word by word. With ``telling``, a block must
+    also hold that share of the words in which a passage differs from the texts of any other license that
+    would reach the threshold by what both have in common; a passage that differs in no word tells nothing.
+    """
+
+    def __init__(
+        self,
+        found: Sequence[Passage],
+        frequency: Mapping[bytes, int],
+        containment: float,
+        *,
+        in_order_below: int = 0,
+        telling: float = 0.0,
+    ):
         vocabulary = {word for p in found for word in p.words}
         order = sorted(vocabulary, key=lambda word: (frequency.get(word, 0), word))
         self.rank = {word: n for n, word in enumerate(order)}
         self.labels = [p.label for p in found]
         self.ranks = [sorted(self.rank[word] for word in p.words) for p in found]
-        self.need = [max(1, ceil(containment * len(p.words) - 1e-9)) for p in found]
+        self.phrases = [b" " + b" ".join(p.sequence) + b" " if len(p.sequence) < in_order_below else None for p in found]
+        self.need = [
+            len(p.words) if phrase else max(1, ceil(containment * len(p.words) - 1e-9))
+            for p, phrase in zip(found, self.phrases, strict=True)
+        ]
+        said: dict[str, set[bytes]] = {}
+        for p in found:
+            said.setdefault(p.label, set()).update(p.words)
+        self.telling: list[list[tuple[int, set[int]]]] = [
+            [
+                (max(1, ceil(telling * len(p.words - other) - 1e-9)), {self.rank[word] for word in p.words - other})
+                for label, other in said.items()
+                if telling and label != p.label and len(p.words & other) >= need
+            ]
+            for p, need in zip(found, self.need, strict=True)
+        ]
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
         for k, ranks in enumerate(self.ranks):
             for i, rank in enumerate(ranks[: len(ranks) - self.need[k] + 1]):
@@ -88,7 +123,7 @@ class PassageIndex:
                 if len(block) < need or 1 + min(len(ranks) - i - 1, len(block) - j - 1) < need:
                     continue
                 shared = sum(r in inside for r in ranks)
-                if shared >= need:
+                if shared >= need and all(len(own & inside) >= least for least, own in self.telling[k]):
                     met[k] = shared / len(ranks)
         return met
 
@@ -130,6 +165,8 @@ def license_hits(
         for h in sorted(by_half.keys() | {h - 1 for h in by_half}):
             block = sorted(by_half.get(h, set()) | by_half.get(h + 1, set()))
             for k, share in index.match(block).items():
+                if (phrase := index.phrases[k]) and phrase not in b" %b " % b" ".join(words[max(0, h) * half : (h + 2) * half]):
+                    continue
                 of = runs.setdefault(k, [])
                 if not of or of[-1][0] < h - 1:
                     of.append([h, share, h])
@@ -201,12 +238,13 @@ def with_licenses(
     global order, and once to match. The passages come from the caller's memory, and so does
     their index; it does not grow with the documents. Nothing but those counts is shuffled.
 
-    NULL and empty texts have no words and no hits. Repeated rows each get the same struct. A
+    NULL and empty texts have no words and no hits; very long texts are scanned whole, and an empty table stays empty. Repeated rows each get the same struct. A
     column named ``into`` is replaced, all others are kept.
     """
     found = passages(licenses)
     vocabulary = frozenset(word for p in found for word in p.words)
-    index = PassageIndex(found, word_frequencies(docs, vocabulary, text=text), containment)
+    frequency = word_frequencies(docs, vocabulary, text=text)
+    index = PassageIndex(found, frequency, containment, in_order_below=IN_ORDER_BELOW, telling=TELLING)
 
     def scan(value: str) -> dict:
         n_words, hits = license_hits(value, index, phrases)
