@@ -35,6 +35,12 @@ LOOK_ALIKES = {
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X",
     "ο": "o", "α": "a", "ν": "v", "ι": "i", "ρ": "p", "Α": "A", "Β": "B", "Ε": "E", "Η": "H", "Ι": "I", "Κ": "K",
     "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Χ": "X", "ı": "i", "ɡ": "g", "․": ".", "。": ".",
+    "ԁ": "d", "һ": "h", "ӏ": "l", "Ӏ": "l", "ԛ": "q", "ԝ": "w", "ѵ": "v", "ү": "y", "Ѕ": "S", "І": "I", "Ј": "J", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W",
+    "υ": "u", "γ": "y", "κ": "k", "Ζ": "Z", "Υ": "Y", "ϲ": "c", "ϳ": "j", "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g", "զ": "q", "ք": "p",
+    "ɑ": "a", "ɩ": "i", "ɪ": "i", "ʀ": "r", "ᴀ": "a", "ᴄ": "c", "ᴅ": "d", "ᴇ": "e", "ᴊ": "j", "ᴋ": "k", "ᴍ": "m", "ᴏ": "o", "ᴘ": "p",
+    "ᴛ": "t", "ᴜ": "u", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭼ": "E", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L",
+    "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z", "⁄": "/", "∙": ".", "·": ".", "﹫": "@", "＠": "@",
+    "\u2012": "-", "\u2014": "-", "\u2212": "-", "\u2002": " ", "\u2003": " ", "\u2009": " ", "\u3000": " ", "\u180e": "", "\u2061": "",
     "\u2010": "-", "\u2011": "-", "\u2013": "-", "\u00a0": " ", "\u202f": " ",
     "\u200b": "", "\u200c": "", "\u200d": "", "\u2060": "", "\u00ad": "", "\ufeff": "",
 }
@@ -56,22 +62,34 @@ def _wide(ranges=((0xFF01, 0xFF5E), (0x1D400, 0x1D7FF), (0x2460, 0x2468), (0x24B
     return {c: plain for c, plain in pairs if len(plain) == 1 and plain.isascii()}
 
 
-ALIKE = LOOK_ALIKES | _wide()
-_alike = re.compile("[" + "".join(map(re.escape, sorted(ALIKE))) + "]")
+def _figures() -> dict[str, str]:
+    """The digits of all scripts."""
+    return {c: str(unicodedata.decimal(c)) for c in map(chr, range(0x80, 0x20000)) if unicodedata.category(c) == "Nd"}
+
+
+ALIKE = LOOK_ALIKES | _figures() | _wide()
 _digit = "|".join(sorted(SPELLED, key=len, reverse=True))
 _run = re.compile(rf"\b(?:(?:{PLUS})[\s-]+)?(?:{_digit})(?:[\s,.-]+(?:{_digit}|{DOT}|[0-9]+)){{3,}}\b", re.IGNORECASE)
 _part = re.compile(rf"(?P<plus>{PLUS})|(?P<dot>{DOT})|(?P<digit>{_digit})|(?P<plain>[0-9]+)|(?P<gap>[\s,.-]+)", re.I)
 _at = re.compile(
     rf"\s*+(?:\[\s*(?:{AT}|@)\s*\]|\(\s*(?:{AT}|@)\s*\)|\{{\s*(?:{AT}|@)\s*\}}|<\s*(?:{AT}|@)\s*>)\s*"
     rf"|(?<=[A-Za-z0-9])\s++(?:{AT}|@)\s+(?=[A-Za-z0-9-]+\s*[\[({{<]?\s*(?:\.|{DOT})\s*[\])}}>]?\s*[A-Za-z0-9])"
-    rf"|(?<=[A-Za-z0-9])\s++@(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\s+(?=[A-Za-z0-9-]+\s*\.)",
+    rf"|(?<=[A-Za-z0-9])\s++@(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\s+(?=[A-Za-z0-9-]+\s*\.)"
+    rf"|(?<=[A-Za-z0-9])\s+_+(?:{AT})_+\s+(?=[A-Za-z0-9-]+\s*(?:\.|_+(?:{DOT})_+|\s(?:{DOT})\s)\s*[A-Za-z0-9])"
+    rf"|(?<=[A-Za-z0-9])_+(?:{AT})_+(?=[A-Za-z0-9-]+_+(?:{DOT})_+[A-Za-z0-9])",
     re.IGNORECASE,
 )
 _dot = re.compile(
     rf"\s*+(?:\[\s*(?:{DOT}|\.)\s*\]|\(\s*(?:{DOT}|\.)\s*\)|\{{\s*(?:{DOT}|\.)\s*\}}|<\s*(?:{DOT}|\.)\s*>)\s*"
-    rf"|(?<=[A-Za-z0-9])\s++(?:{DOT})\s+(?=[A-Za-z0-9])",
+    rf"|(?<=[A-Za-z0-9])\s++(?:{DOT})\s+(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])\s*_+(?:{DOT})_+\s*(?=[A-Za-z0-9])",
     re.IGNORECASE,
 )
+# Characters written as entities of HTML: by number, or by these names (fixed values).
+ENTITIES = {"commat": "@", "period": ".", "lowbar": "_", "plus": "+", "hyphen": "-", "dash": "-", "nbsp": " "}
+_entity = re.compile(rf"&(?:#(\d{{1,7}})|#[xX]([0-9A-Fa-f]{{1,6}})|({'|'.join(ENTITIES)}));")
+_underscored = re.compile(rf"_(?:{AT}|{DOT})_", re.IGNORECASE)
+# "came at 10.30" is no address, so a domain that was not written plainly ends in letters.
+_named_domain = re.compile(r"\.[A-Za-z]{2,}(?:-[A-Za-z0-9-]*)?\Z")
 # What rewriting takes at least; most texts have nothing of it and are their own normal form.
 _words = bytes(0x20 if b < 0x80 and not chr(b).isalnum() else b for b in range(256))
 _dots = frozenset(word.encode() for word in DOT.split("|"))
@@ -131,10 +149,24 @@ def plain_words(text: str) -> list[bytes]:
     return text.lower().encode().translate(_words).split()
 
 
+def entities(text: str) -> list[tuple[int, int, str]]:
+    """Entities that stand for a visible character of ASCII, or a blank."""
+    if "&" not in text:
+        return []
+    pieces = []
+    for m in _entity.finditer(text):
+        number = int(m[1]) if m[1] else int(m[2], 16) if m[2] else 0
+        new = ENTITIES[m[3]] if m[3] else chr(number) if 0x20 <= number < 0x7F else None
+        if new is not None:
+            pieces.append((*m.span(), new))
+    return pieces
+
+
 def look_alikes(text: str) -> list[tuple[int, int, str]]:
-    if text.isascii() or _alikes.isdisjoint(text):
+    if text.isascii() or not (here := _alikes.intersection(text)):
         return []
-    return [(*m.span(), ALIKE[m[0]]) for m in _alike.finditer(text)]
+    alike = re.compile("[" + "".join(map(re.escape, sorted(here))) + "]")
+    return [(*m.span(), ALIKE[m[0]]) for m in alike.finditer(text)]
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
@@ -161,6 +193,8 @@ def has_signs(text: str) -> bool:
         return True
     if not _dots.isdisjoint(plain_words(text)) or _at_domain.search(text):
         return True
+    if "_" in text and _underscored.search(text):
+        return True
     # Blanks and letters beyond ASCII do not part words above.
     return not text.isascii() and _dot_word.search(text) is not None
 
@@ -220,18 +254,18 @@ def find_private(text: str) -> list[tuple[str, int, int, bool]]:
     base = identifiers(text)
     spans = [(kind, start, end, True) for kind, start, end in base]
     levels, now = [], text
-    for rule in (look_alikes, spelled_digits, written_signs):
+    for rule in (entities, look_alikes, spelled_digits, written_signs):
         if pieces := rule(now):
             levels.append(Rewritten(now, pieces))
             now = levels[-1].text
     if levels:
         known = {(kind, start, end) for kind, start, end in base}
         for kind, start, end in identifiers(now):
-            rewritten = False
+            said, rewritten = now[start:end], False
             for level in reversed(levels):
                 rewritten |= level.touches(start, end)
                 start, end = level.span(start, end)
-            if rewritten and (kind, start, end) not in known:
+            if rewritten and (kind, start, end) not in known and (kind != "email" or _named_domain.search(said)):
                 spans.append((HIDDEN + kind, start, end, False))
     return sorted(spans, key=lambda s: (s[1], ORDER[s[0]], s[2]))
 
@@ -243,7 +277,8 @@ def private_data(text: Column | str) -> Column:
     ``hidden_``. Spans are code points of the given text, end exclusive, whatever was normalised
     on the way. Works on whole texts within a task; nothing is shuffled.
 
-    NULL and empty texts give an empty array. Repeated rows each get the same array.
+    NULL and empty texts give an empty array, very long ones are read whole. Repeated rows each get the same
+    array; an empty table gives no rows.
     """
     column = F.col(text) if isinstance(text, str) else text
     return per_text(lambda t: [dict(zip(_FIELDS, s, strict=True)) for s in find_private(t)], SPANS, SPANS_ARROW)(column)

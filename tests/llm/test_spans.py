@@ -189,3 +189,81 @@ def test_every_place_of_a_passage_is_a_hit():
     assert [(h.label, h.passage, h.word, h.base, h.containment) for h in hits] == [
         ("one", 0, 0, False, 1.0), ("one", 0, 96, False, 1.0), ("one", 1, 224, False, 1.0)
     ]
+
+
+def method_labels(text):
+    found = licenses.passages(licenses.LICENSES)
+    index = licenses.PassageIndex(found, {}, 0.8, in_order_below=licenses.IN_ORDER_BELOW, telling=licenses.TELLING)
+    return {h.label for h in licenses.license_hits(text, index)[1] if not h.base}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Released under the GNU General Public License version 2.",
+        "The film was released under the new label with a license to distribute.",
+        "licensed under terms set by section 4 part 0 of the act",
+        "by the license released by cc 4 0 under a licensed version of the mit",
+        "",
+    ],
+)
+def test_common_turns_of_phrase_are_no_license(text):
+    assert method_labels(text) == set()
+
+
+@pytest.mark.parametrize("label", licenses.LICENSES)
+def test_a_license_gets_its_own_label_only(label):
+    for text in [*licenses.LICENSES[label], " ".join(licenses.LICENSES[label])]:
+        assert method_labels(text) == {label}
+        assert method_labels(f"Some words before it. {text.upper()} And {'more ' * 50}") == {label}
+
+
+def test_an_altered_notice_is_still_told():
+    text = licenses.LICENSES["mit"][0].replace("any person", "anyone").replace("the Software", "our program")
+    assert method_labels(text) == {"mit"}
+
+
+def disguises():
+    """(kind, disguised text) by rule: every way of writing for every identifier."""
+    digits = {"arabic": 0x660, "devanagari": 0x966, "wide": 0xFF10, "bold": 0x1D7CE, "bengali": 0x9E6}
+    spelled = "zero one two three four five six seven eight nine".split()
+    numbers = {"ip": "192.168.10.77", "card": "4111 1111 1111 1111", "phone": "+49 30 1234567"}
+    for kind, plain in numbers.items():
+        for start in digits.values():
+            yield kind, "".join(chr(start + int(c)) if c.isdigit() else c for c in plain)
+        yield kind, plain.replace("1", "&#49;")
+        yield kind, "\u200b".join(plain)
+    yield "ip", " dot ".join(" ".join(spelled[int(c)] for c in part) for part in numbers["ip"].split("."))
+    yield "card", " ".join(spelled[int(c)] for c in numbers["card"].replace(" ", ""))
+    yield "phone", "plus " + " ".join(spelled[int(c)] for c in numbers["phone"][1:].replace(" ", ""))
+    ats = [" at ", " [at] ", "(at)", " {at} ", " <at> ", " _at_ ", "_at_", " AT ", " @ ", "&#64;", "&#x40;", "&commat;", "\uff20", "[@]"]
+    dots = [" dot ", " [dot] ", "(dot)", " _dot_ ", "_dot_", " DOT ", "&#46;", "&period;", "\u2024", "."]
+    for at in ats:
+        for dot in dots:
+            if (at, dot) != ("_at_", ".") and (at == "_at_") <= ("_" in dot):
+                yield "email", f"jane{at}example{dot}com"
+    for name in ("j\u0430ne@example.com", "jane@\u0501omain.com", "jane@ex\u0430mple.c\u043em", "\uff4aane@example.com", "ja\u200bne@example.com"):
+        yield "email", name
+
+
+def test_recall_of_disguises_by_kind():
+    found, total = Counter(), Counter()
+    for kind, said in disguises():
+        text = f"Please write to {said} today, thanks."
+        total[kind] += 1
+        spans = [text[a:b] for k, a, b, base in private.find_private(text) if k == "hidden_" + kind]
+        found[kind] += any(said in span or span in said and len(span) > 0.6 * len(said) for span in spans)
+    assert set(total) == {"email", "ip", "card", "phone"} and total["email"] > 100
+    assert all(found[kind] >= 0.9 * total[kind] for kind in total), (found, total)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Look_at_this.that and meet me at the big dot of the map at noon. Tom & Jerry &amp; friends &#169; 2024.",
+        "We were at home; she looked at it. The year \u0662\u0660\u0662\u0664 was long \u2014 at least for some.",
+        "snake_case_at_work and data_dot_com are names; five six seven people came at 10.30 to www.example.com",
+    ],
+)
+def test_prose_and_code_are_left_alone(text):
+    assert private.find_private(text) == []
