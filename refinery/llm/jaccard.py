@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import keep_on_disk
+from refinery.llm.common import keep_on_disk, slices
 from refinery.llm.rows import first_of_ids, without_ids
 from refinery.llm.hashing import BY_BLANKS, BY_PUNCTUATION, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
 from refinery.llm.linking import connected_components, link_by_keys, shared_only
@@ -167,7 +167,8 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, settings: Settings) -> Data
     percent = settings.percent
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Texts of some thousand pairs come at a time; their words and shingles take many times their size.
+        for batch in (part for whole in batches for part in slices(whole, "a_text", 1 << 20)):
             left, right = (list(shingle_sets(batch.column(c).to_pylist(), settings)) for c in ("a_text", "b_text"))
             good = []
             for x, y in zip(left, right, strict=True):

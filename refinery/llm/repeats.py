@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import empty, free_name, keep_on_disk
+from refinery.llm.common import empty, free_name, keep_on_disk, slices
 from refinery.llm.hashing import (
     BY_PUNCTUATION,
     Words,
@@ -202,7 +202,7 @@ def alike(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) whose sets of shingles reach the threshold, counted exactly."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "a_text", 1 << 20)):
             sides = []
             for name in ("a_text", "b_text"):
                 p = paragraphs(batch.column(name).to_pylist(), settings)
