@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.functions._columns import ColumnLike
@@ -50,7 +51,7 @@ def flatten_tree(
 
     The source is read once: level by level, every row so far is repeated for its children
     and once for itself. These are plain explodes, which Spark compiles, and the rows stay in
-    their task. The one shuffle is that of the final distinct, which combines beforehand.
+    their task. The one shuffle is that of the final distinct, which combines after it.
     """
     own = df.columns
     clash = {column.lower() for column in own} & set(_SEEN)
@@ -109,4 +110,8 @@ def flatten_tree(
     named = tree.filter(f"{mark}level = 0 or `{mark}node_{id_field}` is not null").selectExpr(
         *[f"`{column}`" for column in own], as_struct("node"), as_struct("parent"), f"{mark}level as level"
     )
-    return project(named, columns).distinct()
+    # Rows are spread by their whole value before the distinct, so that it works on one shuffle
+    # partition at a time, which adaptive execution keeps small; combining within a map task would
+    # hold every distinct row of that task's input split, and a split grows with its file.
+    flat = project(named, columns)
+    return flat.repartition(*[F.col(f"`{column}`") for column in flat.columns]).distinct()

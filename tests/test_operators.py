@@ -150,6 +150,16 @@ def test_tree_node_reached_twice_is_one_row(spark):
     }
 
 
+def test_tree_distinct_holds_no_whole_input_split(spark):
+    """The distinct aggregates after its shuffle only, so one task holds one partition's rows."""
+    df = spark.createDataFrame([(1, "root", [(10, "g", None, None)], None)], TREE)
+    flat = op.flatten_tree(df, NODE, fields=["name"], groups="groups", leaves="leaves", depth=2)
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    below_shuffle = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "HashAggregate" not in below_shuffle and "SortAggregate" not in below_shuffle
+    assert rows(flat) == {(1, "root", 0, None): 1, (10, "g", 1, 1): 1}
+
+
 # --- relations and aggregates ---------------------------------------------------------------
 
 
