@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 import numpy as np
@@ -46,6 +47,24 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
         at = stop
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def arrow_bytes(spark, most: int) -> Iterator[None]:
+    """While inside, Arrow batches sent to Python hold about ``most`` bytes at most, one row at least; rows are
+    only dealt into more batches. The session's setting comes back after."""
+    before = spark.conf.get(ARROW_BYTES, None)
+    spark.conf.set(ARROW_BYTES, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_BYTES)
+        else:
+            spark.conf.set(ARROW_BYTES, before)
+
+
 _cached: list = [None, None]
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import keep_on_disk, slices
+from refinery.llm.common import arrow_bytes, keep_on_disk, slices
 from refinery.llm.rows import first_of_ids, without_ids
 from refinery.llm.hashing import BY_BLANKS, BY_PUNCTUATION, as_long, hash_filter, in_filter, mix, run_hashes, text_batches, words_of
 from refinery.llm.linking import connected_components, link_by_keys, shared_only
@@ -55,6 +55,8 @@ def shingle_sets(texts: list[str | None], settings: Settings) -> Iterator[np.nda
 
 
 SKETCH_CHUNK = 1 << 14
+# Rows of pairs bring two whole texts each: ten thousand of them at a time could take gigabytes in a Python worker.
+BATCH_BYTES = 16 << 20
 
 
 def sketch(docs: DataFrame, settings: Settings) -> np.ndarray:
@@ -264,8 +266,11 @@ def jaccard_classes(
     get a NULL component. Rows of one id are one node. An empty table gives no rows. Other columns
     are left out.
     """
-    signed, classes, links = jaccard_links(docs, id=id, text=text, settings=settings)
-    named = classes.select(*KEYS, "node").join(connected_components(links), "node", "left")
+    # All that goes through Python is written before this returns: the links' components are on disk.
+    with arrow_bytes(docs.sparkSession, BATCH_BYTES):
+        signed, classes, links = jaccard_links(docs, id=id, text=text, settings=settings)
+        components = connected_components(links)
+    named = classes.select(*KEYS, "node").join(components, "node", "left")
     named = named.select(*KEYS, F.coalesce("component", "node").alias("component_id"))
     return (
         signed.select(F.col("node").alias("doc_id"), *KEYS)
