@@ -109,6 +109,7 @@ class Merges:
             return [whole]
         size, text = len(piece), piece.decode("latin-1")
         length, fits, longest, most, along = self.length, self.fits, self.longest, self.most, self.matcher.longest_prefix
+        shorter, compatible = self.shorter, self.compatible
         closed: set[int] = set()
         out: list[int] = []
         ahead = text[:most]
@@ -118,12 +119,11 @@ class Merges:
             if last == NONE:
                 good = True
             else:
-                pair = last << 32 | token
-                good = fits.get(pair)
+                good = fits.get(pair := last << 32 | token)
                 if good is None:
                     if len(fits) >= MOST_PAIRS:
                         fits.clear()
-                    good = fits[pair] = self.compatible(last, token)
+                    good = fits[pair] = compatible(last, token)
             if good and end not in closed:
                 out.append(token)
                 if end == size:
@@ -131,12 +131,12 @@ class Merges:
                 ahead = text[end : end + most]
                 at, last, token = end, token, longest[ahead[: along(ahead)]]
                 continue
-            token = self.shorter[token]
+            token = shorter[token]
             while token == NONE:
                 closed.add(at)
                 out.pop()
                 at -= length[last]
-                token, last = self.shorter[last], out[-1] if out else NONE
+                token, last = shorter[last], out[-1] if out else NONE
 
 
 class Chunks(dict):
