@@ -290,7 +290,8 @@ def leaks(
     sizes = sorted(row["size"] for row in theirs.select("size").distinct().collect())
     bits = hash_filter(theirs.select("hash"), settings.filter_bits)
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    ours = document_windows(texts, sizes, bits, settings)
+    # The windows that pass the filter are read by several steps below; documents are read once.
+    ours = keep_on_disk(document_windows(texts, sizes, bits, settings), "document-windows")
 
     totals = theirs.groupBy(F.col("id").alias("item_id"), "reading").agg(
         F.countDistinct("size", "position").alias("total")

@@ -169,6 +169,15 @@ def test_leaks(spark, text, leaked):
     assert decontaminate.leaks(docs, items).count() == int(leaked)
 
 
+def test_leaks_read_the_documents_once(spark):
+    docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    items = spark.createDataFrame([(5, ITEM)], "item_id long, text string")
+    found = decontaminate.leaks(docs, items)
+    # The documents' windows are written once before the steps that read them; the result reads them from disk.
+    assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 1
+
+
 def found_leaks(spark, item, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
