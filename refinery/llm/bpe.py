@@ -260,5 +260,10 @@ def with_ids(docs: DataFrame, path: str, pattern: str, *, text: str = "text", in
 
 
 def with_decoded(docs: DataFrame, path: str, pattern: str, *, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """``docs`` with the bytes of each row's ids as a binary column ``into``; NULL ids give none."""
-    return docs.withColumn(into, Vocabulary(docs, path, pattern).decode(F.col(ids)))
+    """``docs`` with the bytes of each row's ids as a binary column ``into``; NULL ids give none.
+
+    Spark chains a Python function whose argument is another one, and then runs the inner one again for it; the
+    ids are read through ``coalesce`` (NULL ids decode as empty either way), so that ids made by ``with_ids`` are
+    encoded once and decoded from the column.
+    """
+    return docs.withColumn(into, Vocabulary(docs, path, pattern).decode(F.coalesce(F.col(ids), F.lit(b""))))
