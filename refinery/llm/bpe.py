@@ -215,10 +215,23 @@ class Encoder:
         return b"".join(map(self.merges.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def _ranks_of(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(bytes.strip, lines.splitlines()))}
+
+
 def encoder_of(lines: bytes, pattern: str) -> Encoder:
     """The encoder of a rank file's content."""
-    ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(bytes.strip, lines.splitlines()))}
-    return Encoder(ranks, pattern)
+    return Encoder(_ranks_of(lines), pattern)
+
+
+class Decoder:
+    """The bytes of each id: all that decoding needs, without the encoder's matcher and caches."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.bytes = {rank: token for token, rank in ranks.items()}
+
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 class Vocabulary:
@@ -237,17 +250,25 @@ class Vocabulary:
     def decode(self, ids: Column) -> Column:
         """The bytes that ids stand for."""
         lines, pattern = self.lines, self.pattern
-        return per_text(lambda value: _cached(lines, pattern).decode(value or b""), "binary", pa.binary())(ids)
+        return per_text(lambda value: _decoder(lines).decode(value or b""), "binary", pa.binary())(ids)
 
 
 _known: list = [None, None]
 
 
-def _cached(lines, pattern: str) -> Encoder:
+def _content(lines) -> tuple[int, int]:
     # The content is summed up once per broadcast; tasks of later stages may bring the same content anew.
     if _known[0] is not lines:
         _known[:] = [lines, (zlib.crc32(lines.value), len(lines.value))]
-    return worker_cache((_known[1], pattern), lambda: encoder_of(lines.value, pattern))
+    return _known[1]
+
+
+def _cached(lines, pattern: str) -> Encoder:
+    return worker_cache((_content(lines), pattern), lambda: encoder_of(lines.value, pattern))
+
+
+def _decoder(lines) -> Decoder:
+    return worker_cache((_content(lines), Decoder), lambda: Decoder(_ranks_of(lines.value)))
 
 
 def with_ids(docs: DataFrame, path: str, pattern: str, *, text: str = "text", into: str = "ids") -> DataFrame:
